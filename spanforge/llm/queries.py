@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm import quality, sharding, urls
+from spanforge.llm import idcodec, packing, quality, sharding, simhash, urls
 from spanforge.session import table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_digest(table(spark, sf_dir, "documents"), length=1024, end_id=0)
+
+
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idcodec.write_and_read(table(spark, sf_dir, "documents"), end_id=2)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge_urls(table(spark, sf_dir, "pages"), urls.rules_frame(spark, URL_RULES), ["page_id"])
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -28,11 +41,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op3_url_filter": op3_url_filter, "op5_sharding": op5_sharding, "op10_quality": op10_quality}
+    return {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op8_token_ids": op8_token_ids, "op3_url_filter": op3_url_filter, "op5_sharding": op5_sharding, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": OP3_SQL}
+    return {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op8_token_ids": op8_token_ids, "op3_url_filter": OP3_SQL}
 
 
 OP3_SQL = """
