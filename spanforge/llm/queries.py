@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm import idcodec, packing, quality, sharding, simhash, urls
+from spanforge.llm import idcodec, packing, quality, sharding, simhash, superkmers, urls
 from spanforge.session import table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -21,6 +21,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(table(spark, sf_dir, "documents"), length=1024, end_id=0)
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmers.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idcodec.write_and_read(table(spark, sf_dir, "documents"), end_id=2)
 
@@ -41,11 +45,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op8_token_ids": op8_token_ids, "op3_url_filter": op3_url_filter, "op5_sharding": op5_sharding, "op10_quality": op10_quality}
+    return {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op6_substring": op6_substring, "op8_token_ids": op8_token_ids, "op3_url_filter": op3_url_filter, "op5_sharding": op5_sharding, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op8_token_ids": op8_token_ids, "op3_url_filter": OP3_SQL}
+    return {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op6_substring": op6_substring, "op8_token_ids": op8_token_ids, "op3_url_filter": OP3_SQL}
 
 
 OP3_SQL = """
