@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm import idcodec, packing, quality, sharding, simhash, superkmers, urls
+from spanforge.llm import bwtdedup, idcodec, packing, quality, sharding, simhash, superkmers, urls
 from spanforge.session import table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -39,13 +39,17 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard_id", "shard", F.length("text").cast("long").alias("n_text"))
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwtdedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
 def queries() -> dict:
-    return {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op6_substring": op6_substring, "op8_token_ids": op8_token_ids, "op3_url_filter": op3_url_filter, "op5_sharding": op5_sharding, "op10_quality": op10_quality}
+    return {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op6_substring": op6_substring, "op8_token_ids": op8_token_ids, "op3_url_filter": op3_url_filter, "op5_sharding": op5_sharding, "op9_suffix_array": op9_suffix_array, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
