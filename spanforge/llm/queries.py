@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm import bwtdedup, idcodec, langid, packing, quality, sharding, simhash, superkmers, urls
+from spanforge.llm import bwtdedup, decontam, idcodec, langid, packing, quality, sharding, simhash, superkmers, urls
 from spanforge.session import table
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -40,6 +40,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"), "doc_id", SHARDS)
     return placed.select("doc_id", "slot", "shard_id", "shard", F.length("text").cast("long").alias("n_text"))
@@ -55,7 +59,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op6_substring": op6_substring, "op7_language": op7_language, "op8_token_ids": op8_token_ids, "op3_url_filter": op3_url_filter, "op5_sharding": op5_sharding, "op9_suffix_array": op9_suffix_array, "op10_quality": op10_quality}
+    return {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op6_substring": op6_substring, "op7_language": op7_language, "op8_token_ids": op8_token_ids, "op3_url_filter": op3_url_filter, "op4_decontamination": op4_decontamination, "op5_sharding": op5_sharding, "op9_suffix_array": op9_suffix_array, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
