@@ -222,7 +222,7 @@ def repeated_windows(strings: list[bytes], offsets: np.ndarray, counts: np.ndarr
 def chunk_strings(rows: list, window: int, minimiser: int, n_buckets: int) -> tuple[list, dict]:
     """Each row's (id, bytes, runs), and per bucket its distinct strings: [number, windows before, hash, offset, count]."""
     docs, found = [], {}
-    for doc, text in rows:
+    for doc, text, _ in rows:
         text, runs = text or b"", []
         for first, n, least, offset in document_runs(np.frombuffer(text, np.uint8), window, minimiser):
             own = found.setdefault(bucket := least % n_buckets, [{}, 0])
@@ -246,7 +246,7 @@ def repeated_bytes(docs: DataFrame, schema: str, emit, window: int = WINDOW, min
 
     def count(chunk: int, rows: list, _: dict) -> Iterator[pa.RecordBatch]:
         times: dict[int, list] = {}
-        for _, text_ in rows:
+        for _, text_, _ in rows:
             for _, _, least, _ in document_runs(np.frombuffer(text_ or b"", np.uint8), window, minimiser):
                 times.setdefault(least % n_buckets, []).append(least)
         for bucket, found in times.items():

@@ -17,23 +17,23 @@ CHUNK_BYTES = 4 << 20
 NO_ID = np.iinfo(np.int64).max  # rows without an id rank after all others
 
 
-def chunked(docs: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
-    """(``chunk, id, t``) exchanged by chunk, and the number of chunks."""
+def chunked(docs: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES, carry: list[str] | None = None) -> tuple[DataFrame, int]:
+    """(``chunk, id, t, rest``) exchanged by chunk, and the number of chunks. ``rest``: the columns ``carry`` as JSON."""
     size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     n = int(size // chunk_bytes) + 1
-    rows = docs.select(F.pmod(F.xxhash64(F.col(key).cast("long"), F.lit("chunk")), F.lit(n)).cast("int").alias("chunk"), F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
+    rows = docs.select(F.pmod(F.xxhash64(F.col(key).cast("long"), F.lit("chunk")), F.lit(n)).cast("int").alias("chunk"), F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"), F.to_json(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])).alias("rest") if carry else F.lit("").alias("rest"))
     return rows.repartition("chunk"), n
 
 
-def ordered(ids: list, texts: list) -> list[tuple[int | None, bytes | None]]:
+def ordered(ids: list, texts: list, rest: list) -> list[tuple[int | None, bytes | None, str]]:
     """The chunk's rows in one order whatever the order of arrival: by id, rows without one last, then by text."""
-    return sorted(zip(ids, texts, strict=True), key=lambda r: (NO_ID if r[0] is None else r[0], r[0] is None, r[1] or b""))
+    return sorted(zip(ids, texts, rest, strict=True), key=lambda r: (NO_ID if r[0] is None else r[0], r[0] is None, r[1] is None, r[1] or b"", r[2]))
 
 
 def per_chunk(text: DataFrame, run: Callable, schema: str, *notes: DataFrame) -> DataFrame:
     """Apply ``run(rows, notes) -> record batches`` to every chunk.
 
-    ``rows`` are the chunk's ordered (id, text bytes); ``notes`` its (kind, bucket, payload) rows from earlier passes.
+    ``rows`` are the chunk's ordered (id, text bytes, rest); ``notes`` its (kind, bucket, payload) rows from earlier passes.
     """
 
     def body(rows: pa.Table, extra: pa.Table | None) -> Iterator[pa.RecordBatch]:
@@ -41,7 +41,7 @@ def per_chunk(text: DataFrame, run: Callable, schema: str, *notes: DataFrame) ->
             return
         chunk = rows.column("chunk")[0].as_py()
         told = {} if extra is None else {(r["kind"], r["bucket"]): r["payload"] for r in extra.to_pylist()}
-        got = ordered(rows.column("id").to_pylist(), rows.column("t").cast(pa.binary()).to_pylist())
+        got = ordered(rows.column("id").to_pylist(), rows.column("t").cast(pa.binary()).to_pylist(), rows.column("rest").to_pylist())
         yield from run(chunk, got, told)
 
     if not notes:

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from spanforge.llm import chunks as C
 
@@ -43,9 +44,10 @@ def document_runs(joined: bytes, window: int, minimiser: int) -> list[tuple[int,
 
 
 def chunk_strings(rows: list, window: int, minimiser: int, n_buckets: int) -> tuple[list, dict[int, dict[bytes, tuple[int, int, int]]]]:
-    """Each document's (words, runs), and per bucket its distinct strings: number, smallest id, windows before it."""
+    """Each row's (row, words, runs), and per bucket its distinct strings: number, smallest id, windows before it."""
     docs, found = [], {}
-    for doc, text in rows:
+    for row in rows:
+        doc, text, _ = row
         rank = C.NO_ID if doc is None else doc
         words = (text or b"").split()
         joined, runs = b" ".join(words), []
@@ -57,7 +59,7 @@ def chunk_strings(rows: list, window: int, minimiser: int, n_buckets: int) -> tu
                 seen = own[0][string] = (len(own[0]), rank, own[1])
                 own[1] += n
             runs.append((first, n, bucket, seen, rank))
-        docs.append((doc, words, runs))
+        docs.append((row, words, runs))
     return docs, found
 
 
@@ -107,9 +109,9 @@ def _spans(sizes: list[int]) -> list[tuple[int, int]]:
     return list(zip((ends - sizes).tolist(), ends.tolist(), strict=True))
 
 
-def repeated_words(docs: DataFrame, schema: str, emit, window: int = WINDOW, minimiser: int = MINIMISER, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``emit(doc, words, removed flags) -> row tuple`` of ``schema`` for every row of ``docs``."""
-    chunk_text, n_chunks = C.chunked(docs, key, text)
+def repeated_words(docs: DataFrame, schema: str, emit, window: int = WINDOW, minimiser: int = MINIMISER, key: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``emit((id, text bytes, rest), words, removed flags) -> row tuple`` of ``schema`` for every row of ``docs``."""
+    chunk_text, n_chunks = C.chunked(docs, key, text, carry=carry)
     n_buckets = _buckets(n_chunks)
 
     def send(chunk: int, rows: list, _: dict) -> Iterator[pa.RecordBatch]:
@@ -129,7 +131,7 @@ def repeated_words(docs: DataFrame, schema: str, emit, window: int = WINDOW, min
     def apply(chunk: int, rows: list, told: dict) -> Iterator[pa.RecordBatch]:
         out = []
         flags = {bucket: np.unpackbits(np.frombuffer(bits, np.uint8)) for (_, bucket), bits in told.items()}
-        for doc, words, runs in chunk_strings(rows, window, minimiser, n_buckets)[0]:
+        for row, words, runs in chunk_strings(rows, window, minimiser, n_buckets)[0]:
             cover = np.zeros(len(words) + 1, np.int64)
             for first, n, bucket, (_, least, before), rank in runs:
                 if rank > least:  # a smaller id of this chunk holds the whole string
@@ -139,7 +141,7 @@ def repeated_words(docs: DataFrame, schema: str, emit, window: int = WINDOW, min
                     for i in np.flatnonzero(flags[bucket][before : before + n]).tolist():
                         cover[first + i] += 1
                         cover[first + i + window] -= 1
-            out.append(emit(doc, words, np.cumsum(cover[:-1]) > 0))
+            out.append(emit(row, words, np.cumsum(cover[:-1]) > 0))
         yield C.batch(schema, *map(list, zip(*out, strict=True)))
 
     flags = C.per_bucket(C.per_chunk(chunk_text, send, BLOB), judge)
@@ -151,14 +153,29 @@ def _kept(words: list[bytes], gone: np.ndarray) -> bytes:
 
 
 def dedup_text(docs: DataFrame, key: str = "doc_id", text: str = "text", **kw) -> DataFrame:
-    """``(key, kept_text, n_words, n_removed)`` of every row."""
-    emit = lambda doc, words, gone: (doc, _kept(words, gone).decode("utf-8", "replace"), len(words), int(gone.sum()))
-    return repeated_words(docs, "id long, kept_text string, n_words long, n_removed long", emit, key=key, text=text, **kw).withColumnRenamed("id", key)
+    """Rows of ``docs``, all columns, with the repeated words cut out of ``text``, plus ``n_words, n_removed``.
+
+    A text that loses nothing stays as it is; of others the kept words are joined by one space.
+    """
+
+    def emit(row, words, gone):
+        doc, data, rest = row
+        kept = _kept(words, gone) if gone.any() else data
+        return doc, None if kept is None else kept.decode("utf-8", "replace"), rest, len(words), int(gone.sum())
+
+    carry = [c for c in docs.columns if c not in (key, text)]
+    out = repeated_words(docs, "id long, t string, rest string, n_words long, n_removed long", emit, key=key, text=text, carry=carry, **kw)
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    if carry:
+        out = out.withColumn("rest", F.from_json("rest", "struct<" + ",".join(f"c{i}:{kinds[c]}" for i, c in enumerate(carry)) + ">"))
+    columns = {key: F.col("id").cast(kinds[key]), text: F.col("t")} | {c: F.col(f"rest.c{i}") for i, c in enumerate(carry)}
+    extra = [F.col(c).alias(c) for c in ("n_words", "n_removed") if c not in docs.columns]
+    return out.select(*[columns[c].alias(c) for c in docs.columns], *extra)
 
 
 def dedup_digest(docs: DataFrame, key: str = "doc_id", text: str = "text", **kw) -> DataFrame:
     """``(key, n_words, n_removed, kept_sha256)`` of every row."""
-    emit = lambda doc, words, gone: (doc, len(words), int(gone.sum()), hashlib.sha256(_kept(words, gone)).hexdigest())
+    emit = lambda row, words, gone: (row[0], len(words), int(gone.sum()), hashlib.sha256(_kept(words, gone)).hexdigest())
     return repeated_words(docs, "id long, n_words long, n_removed long, kept_sha256 string", emit, key=key, text=text, **kw).withColumnRenamed("id", key)
 
 
