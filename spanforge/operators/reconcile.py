@@ -205,7 +205,8 @@ def run_chunked(objects: DataFrame, tiles: DataFrame, bounds: tuple[int, int, in
     stitched = drop_exact_copies(stitch(objects, tiles, kw.get("shift", 6)), ["x0", "y0", "x1", "y1"])
     dealt = assign_chunks(stitched, minx, miny, maxx, maxy, size, buffer)
     band = int(maxy - miny) + 4 * int(size)
-    names = F.xxhash64("chunk_id", "id").bitwiseAND(F.lit((1 << 62) - 1))
+    # Ordered like the ids within a chunk, so that ties between equal areas fall as they do without chunks.
+    names = F.when(F.col("id").between(0, (1 << 40) - 1), F.col("chunk_id") * (1 << 40) + F.col("id")).otherwise(F.raise_error(F.lit("ids lie between 0 and 2**40")).cast("long"))
     apart = cut(dealt.withColumn("_source", F.col("id")).withColumn("id", names).withColumn("y0", F.col("y0") + F.col("chunk_id") * band).withColumn("y1", F.col("y1") + F.col("chunk_id") * band))
     kept, runs, _ = clean(apart.select("id", "tile_id", "x0", "y0", "x1", "y1", "area"), **{k: v for k, v in kw.items() if k in ("iou", "containment", "dust")})
     shape = S.measures(runs, ["id"]).join(kept.select("id", F.col("area").alias("area")), "id").join(apart.select("id", "chunk_id", "_source"), "id")
