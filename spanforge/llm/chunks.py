@@ -13,10 +13,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BATCH_ROWS = 2_000
 CHUNK_BYTES = 4 << 20
 NO_ID = np.iinfo(np.int64).max  # rows without an id rank after all others
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Keep the batches of texts that workers get small: a session still at Spark's default gets BATCH_ROWS a batch."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if conf.get(name) == "10000":
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def chunked(docs: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES, carry: list[str] | None = None) -> tuple[DataFrame, int]:
     """(``chunk, id, t, rest``) exchanged by chunk, and the number of chunks. ``rest``: the columns ``carry`` as JSON."""
     size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0

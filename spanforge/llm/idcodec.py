@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanforge.llm.chunks import small_batches
 from spanforge.llm.tokens import TokenEncoder, default_path
 from spanforge.session import ensure_checkpoint_dir
 
@@ -29,7 +30,7 @@ LAYOUT = {0: (240, 0), 2: (60, 1), 3: (30, 2), 4: (20, 3), 5: (15, 4), 6: (12, 5
 ESCAPE = 1
 FRAME = 1024
 BLOCK_IDS = 1 << 17
-BATCH_ROWS = 500
+BATCH_ROWS = 2000
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +141,7 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int
         if held:
             yield flush()
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, "id").sortWithinPartitions("id")
     schema = "part int, block int, doc_ids array<long>, doc_tokens array<long>, frame_words array<long>, words binary"

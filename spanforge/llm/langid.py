@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanforge.llm.chunks import small_batches
+
 DIM = 1024
 CLASSES = 64  # letter classes; 0 is a gap between words
 MAX_LANGUAGES = 1_000  # bound of the profiles that reach the driver
@@ -98,7 +100,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
             at = np.flatnonzero(s)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at), pa.array(s[at])], names=["lang", "code", "n"])
 
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("t"))
+    known = small_batches(docs).where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("t"))
     counts = known.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     found: dict[str, list] = {}
     for row in counts.collect():
@@ -147,7 +149,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], key: str = "doc_id
                 langs, scores = predict_texts(texts[i:j], names, unit)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["id", "lang_pred", "score"])
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
     return rows.mapInArrow(run, "id long, lang_pred string, score double").withColumnRenamed("id", key)
 
 

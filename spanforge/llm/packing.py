@@ -18,13 +18,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanforge.llm.chunks import small_batches
 from spanforge.llm.tokens import TokenEncoder, default_path
 from spanforge.session import cut
 
 DIMS, BITS = 3, 10
 SPREAD = 4.0  # projections are clipped to this many standard deviations
 ROUTE_SAMPLE = 4_000  # documents read to place the partitions' borders; routing only
-BATCH_ROWS = 500
+BATCH_ROWS = 2000
 
 
 def sign_table(vocab: int, dims: int = DIMS) -> np.ndarray:
@@ -70,8 +71,9 @@ def vector_keys(counts: np.ndarray, ids: np.ndarray, signs: np.ndarray) -> np.nd
     return hilbert_key(cells.T)
 
 
-def keyed_tokens(docs: DataFrame, path: str, end_id: int, key: str, text: str) -> DataFrame:
-    """``(key, curve, ids)`` of every row; ids are little-endian, two or four bytes each."""
+def keyed_tokens(docs: DataFrame, path: str, end_id: int, key: str, text: str, borders: list[tuple[int, int]] | None = None) -> DataFrame:
+    """``(key, curve, ids, part)`` of every row; ids are little-endian, two or four bytes each. ``part``: by ``borders``."""
+    borders = borders or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TokenEncoder.of(path)
@@ -85,14 +87,18 @@ def keyed_tokens(docs: DataFrame, path: str, end_id: int, key: str, text: str) -
                 ids = np.insert(ids, ends, end_id)
                 offsets = np.concatenate(([0], ends + np.arange(1, len(ends) + 1))) * ids.itemsize
                 packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(curve), packed], names=["id", "curve", "ids"])
+                pairs = zip(curve.tolist(), b.column(0).fill_null(-1).to_pylist(), strict=True)
+                part = pa.array([bisect.bisect_right(borders, p) for p in pairs], pa.int32())
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(curve), packed, part], names=["id", "curve", "ids", "part"])
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
-    return rows.mapInArrow(run, "id long, curve long, ids binary")
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
+    return rows.mapInArrow(run, "id long, curve long, ids binary, part int")
 
 
-def pack(docs: DataFrame, length: int = 1024, path: str | None = None, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``, ids as little-endian bytes.
+def pack(docs: DataFrame, length: int = 1024, path: str | None = None, end_id: int = 0, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
+    """One row per piece: ``doc_id, start, length, ids, doc_tokens, offset`` and its place, ids as little-endian bytes.
+
+    ``digest``: ``ids_crc32``, over little-endian unsigned 32-bit ids, in place of ``ids``.
 
     Documents are dealt to partitions by (Hilbert key, id), whose borders come from a bounded sample, and packed while
     they stream by. Sequence numbers are made consecutive from each partition's count.
@@ -106,11 +112,6 @@ def pack(docs: DataFrame, length: int = 1024, path: str | None = None, end_id: i
     seen = sorted((r["curve"], r["id"] if r["id"] is not None else -1) for r in keyed_tokens(sample, path, end_id, key, text).select("curve", "id").collect())
     borders = [seen[len(seen) * i // parts] for i in range(1, parts)] if seen else []
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            pairs = zip(b.column(1).to_pylist(), b.column(0).fill_null(-1).to_pylist(), strict=True)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([bisect.bisect_right(borders, p) for p in pairs], pa.int32())], names=["id", "curve", "ids", "part"])
-
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
         for b in batches:
@@ -119,17 +120,19 @@ def pack(docs: DataFrame, length: int = 1024, path: str | None = None, end_id: i
                 total, done = len(ids) // wide, 0
                 while done < total:
                     take = min(total - done, length - at % length)
-                    row = (doc, done, take, ids[done * wide : (done + take) * wide], total, at // length, at % length)
+                    piece = ids[done * wide : (done + take) * wide]
+                    row = (doc, done, take, zlib.crc32(wide_ids(piece, wide)) if digest else piece, total, at // length, at % length)
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
                     done, at = done + take, at + take
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64() if digest else pa.binary(), pa.int64(), pa.int64(), pa.int64())
             arrays = [pa.array(x, k) for x, k in zip(out, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array([part] * len(out[0]), pa.int32())], names=["doc_id", "start", "length", "ids", "doc_tokens", "local", "offset", "part"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array([part] * len(out[0]), pa.int32())], names=["doc_id", "start", "length", name, "doc_tokens", "local", "offset", "part"])
 
-    tokens = keyed_tokens(docs, path, end_id, key, text).mapInArrow(route, "id long, curve long, ids binary, part int")
+    name = "ids_crc32" if digest else "ids"
+    tokens = keyed_tokens(docs, path, end_id, key, text, borders)
     dealt = tokens.repartitionById(parts, F.col("part")).sortWithinPartitions("curve", "id").select("id", "ids")
-    return dealt.mapInArrow(lay, "doc_id long, start long, length long, ids binary, doc_tokens long, local long, offset long, part int")
+    return dealt.mapInArrow(lay, f"doc_id long, start long, length long, {name} {'long' if digest else 'binary'}, doc_tokens long, local long, offset long, part int")
 
 
 def number_sequences(pieces: DataFrame) -> DataFrame:
@@ -147,20 +150,6 @@ def wide_ids(ids: bytes, width: int) -> bytes:
     return ids if width == 4 else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
 
 
-def with_crc(pieces: DataFrame, width: int = 2) -> DataFrame:
-    """Replace ``ids`` by ``ids_crc32`` over little-endian unsigned 32-bit ids."""
-    names = [c for c in pieces.columns if c != "ids"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            crc = [zlib.crc32(wide_ids(x, width)) for x in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in names], pa.array(crc, pa.int64())], names=[*names, "ids_crc32"])
-
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema if f.name != "ids")
-    return pieces.mapInArrow(run, f"{fields}, ids_crc32 long")
-
-
 def pack_digest(docs: DataFrame, **kw) -> DataFrame:
     """``pack`` with each piece's ids replaced by their checksum."""
-    width = 2 if TokenEncoder.of(kw.get("path") or default_path()).dtype == np.uint16 else 4
-    return number_sequences(cut(with_crc(pack(docs, **kw), width)))
+    return number_sequences(cut(pack(docs, digest=True, **kw)))

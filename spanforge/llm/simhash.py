@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanforge.llm.chunks import small_batches
 from spanforge.operators.components import connected_components
 from spanforge.session import cut
 
@@ -54,7 +55,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, key: str = "doc_id", text: s
             fp = [text_fingerprint(t or b"", shingle) for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["id", "fp"])
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
+    rows = small_batches(docs).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
     return rows.mapInArrow(run, "id long, fp long").withColumnRenamed("id", key)
 
 
