@@ -63,8 +63,22 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_simhash": op1_simhash, "op2_packing": op2_packing, "op6_substring": op6_substring, "op7_language": op7_language, "op8_token_ids": op8_token_ids, "op3_url_filter": OP3_SQL}
-
+    """SQL for those queries that it can express; the others are tested against brute force or a round trip."""
+    return {"op3_url_filter": OP3_SQL, "op6_substring": OP6_SQL}
+
+
+OP6_SQL = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+spots as (select doc_id, words, unnest(range(1, len(words) - 11)) as i from w where len(words) >= 13),
+win as (select doc_id, i, array_to_string(words[i:i+12], ' ') as k from spots),
+least_id as (select k, min(doc_id) as m from win group by k),
+gone as (select distinct doc_id, i + j as p from win join least_id using (k) cross join range(0, 13) r(j) where doc_id > m),
+word as (select doc_id, unnest(words) as x, unnest(range(1, len(words) + 1)) as p from w),
+kept as (select doc_id, string_agg(x, ' ' order by p) as t from word anti join gone using (doc_id, p) group by doc_id),
+losses as (select doc_id, count(*) as n from gone group by doc_id)
+select w.doc_id, len(words) as n_words, coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from w left join kept using (doc_id) left join losses using (doc_id)
+"""
 
 OP3_SQL = """
 with rules(rule, h, p, action) as (values ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
