@@ -125,7 +125,7 @@ def resolve_mosaic(objects: DataFrame, dust: int = 0, spans: DataFrame | None =
     spans = cut(box_to_spans(objects) if spans is None else spans)
     live = cut(objects)
     for _ in range(max_rounds):
-        runs = ownership(live, spans.join(live.select("id"), "id", "left_semi"))
+        runs = cut(ownership(live, spans.join(live.select("id"), "id", "left_semi")))
         state = cut(_remnants(live, runs))
         doomed = state.where(F.col("remnant") <= dust)
         if dust == 0 or not doomed.limit(1).count():
@@ -135,8 +135,7 @@ def resolve_mosaic(objects: DataFrame, dust: int = 0, spans: DataFrame | None =
         waits = pairs.where(later).select(F.col("a_id").alias("id")).distinct()
         dropped = doomed.join(waits, "id", "left_anti").select("id")
         live = cut(live.join(dropped, "id", "left_anti"))
-    kept = state.where(F.col("remnant") > dust)
-    kept_runs = cut(ownership(kept.drop("remnant"), spans.join(kept.select("id"), "id", "left_semi")))
+    kept, kept_runs = state.where(F.col("remnant") > dust), runs  # whoever is left out owns no pixel by now
     gone = objects.join(kept.select("id"), "id", "left_anti").select(
         F.lit("mosaic_dropped").alias("phase"), "tile_id", "id", F.col("area").alias("original_area"), F.col("area").alias("removed_area"))
     clipped = kept.where(F.col("area") - F.col("remnant") > dust).select(
