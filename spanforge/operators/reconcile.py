@@ -172,10 +172,17 @@ def instance_ids(objects: DataFrame, chunk: str = "chunk_id", area: str = "area"
     return objects.withColumn("_rank", rank).join(before, chunk).withColumn("instance_id", (F.col("_before") + F.col("_rank")).cast("long")).drop("_rank", "_before")
 
 
-def reconcile(objects: DataFrame, tiles: DataFrame, shift: int = 6, iou: float = 0.7, containment: float = 0.92, dust: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Stitch, drop exact copies, merge duplicates, resolve the mosaic: (crowns, their spans, culled)."""
-    stitched = drop_exact_copies(stitch(objects, tiles, shift), ["x0", "y0", "x1", "y1"])
-    merged, spans, culled = merge_duplicates(cut(stitched), iou, containment)
+def reconcile(objects: DataFrame, tiles: DataFrame, shift: int = 6, iou: float = 0.7, containment: float = 0.92, dust: int = 0, spans: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stitch, drop exact copies, merge duplicates, resolve the mosaic: (crowns, their spans, culled).
+
+    Without ``spans`` the objects are their boxes; with them, copies are told by a hash of all spans besides the box.
+    """
+    within, geometry = stitch(objects, tiles, shift), ["x0", "y0", "x1", "y1"]
+    if spans is not None:
+        shape = spans.groupBy("id").agg(F.xxhash64(F.array_sort(F.collect_list(F.struct("row", "c0", "c1")))).alias("_shape"))
+        within, geometry = within.join(shape, "id"), [*geometry, "_shape"]
+    stitched = cut(drop_exact_copies(within, geometry).drop("_shape"))
+    merged, spans, culled = merge_duplicates(stitched, iou, containment, None if spans is None else spans.join(stitched.select("id"), "id", "left_semi"))
     merged = cut(merged.select("id", "tile_id", "area", "x0", "y0", "x1", "y1"))
     kept, runs, lost = resolve_mosaic(merged, dust, spans)
     crowns = S.measures(runs, ["id"]).join(kept.select("id", "tile_id", F.col("area").alias("merged_area")), "id")
