@@ -125,7 +125,8 @@ def fingerprint_links(nodes: DataFrame, radius: int, spare: int = SPARE_BLOCKS,
 
     ``nodes``: one row ``(node, fp)`` per distinct fingerprint. Every fingerprint goes to one cell per block choice.
     A cell of more than CELL_ROWS rows is dealt out as pairs of its parts, so no task holds a whole hot cell, and each
-    task returns a spanning forest instead of all pairs.
+    task returns a spanning forest instead of all pairs. Trees hang on their smallest node, so that the cells in which
+    a group meets again return the same edges.
     """
     masks = block_masks(radius, spare)
     pivots = pivot_fingerprints(n_pivots)
@@ -155,7 +156,7 @@ def fingerprint_links(nodes: DataFrame, radius: int, spare: int = SPARE_BLOCKS,
         if held:
             yield links(np.concatenate(held, axis=1))
 
-    return dealt.select("cell", "fp", "node").repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
+    return dealt.select("cell", "fp", "node").repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, key: str = "doc_id", text: str = "text", **kw) -> DataFrame:
