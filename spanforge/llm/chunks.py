@@ -6,6 +6,8 @@ follows the corpus. Exchanging text by chunk once serves every pass, because Spa
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +20,13 @@ CHUNK_BYTES = 4 << 20
 NO_ID = np.iinfo(np.int64).max  # rows without an id rank after all others
 
 
+def release() -> None:
+    """Give freed memory back to the system, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Keep the batches of texts that workers get small: a session still at Spark's default gets BATCH_ROWS a batch."""
     name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
@@ -52,6 +61,7 @@ def per_chunk(text: DataFrame, run: Callable, schema: str, *notes: DataFrame) ->
         told = {} if extra is None else {(r["kind"], r["bucket"]): r["payload"] for r in extra.to_pylist()}
         got = ordered(rows.column("id").to_pylist(), rows.column("t").cast(pa.binary()).to_pylist(), rows.column("rest").to_pylist())
         yield from run(chunk, got, told)
+        release()
 
     if not notes:
         return text.groupBy("chunk").applyInArrow(lambda rows: pa.Table.from_batches(list(body(rows, None)), arrow_schema(schema)), schema)
@@ -84,6 +94,7 @@ def per_bucket(blobs: DataFrame, run: Callable, schema: str = NOTE) -> DataFrame
                 held.append(row)
         if held:
             yield from run(held[0]["bucket"], held)
+        release()
 
     return blobs.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(body, schema)
 

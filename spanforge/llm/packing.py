@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm.chunks import small_batches
+from spanforge.llm.chunks import release, small_batches
 from spanforge.llm.tokens import TokenEncoder, default_path
 from spanforge.session import cut
 
@@ -90,6 +90,7 @@ def keyed_tokens(docs: DataFrame, path: str, end_id: int, key: str, text: str, b
                 pairs = zip(curve.tolist(), b.column(0).fill_null(-1).to_pylist(), strict=True)
                 part = pa.array([bisect.bisect_right(borders, p) for p in pairs], pa.int32())
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(curve), packed, part], names=["id", "curve", "ids", "part"])
+        release()
 
     rows = small_batches(docs).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
     return rows.mapInArrow(run, "id long, curve long, ids binary, part int")
