@@ -8,23 +8,26 @@ from pyspark.sql import functions as F
 from spanforge.session import cut
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 64) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` for every node on an edge; component is the smallest node reachable.
 
-    Each round takes the smallest label among neighbours and then jumps to the label's own label, so the number of
-    rounds grows with the logarithm of a component's diameter. Labels are cut to the shared checkpoint folder each
-    round; only a count of changed labels reaches the driver. Null ends and self loops are ignored.
+    Each round offers the smallest label among a node's neighbours to the node and to the node that its own label names,
+    so whole trees hook onto each other, and then jumps to the label's own label. Rounds go on until nothing changes;
+    labels only fall, so they end. Labels are cut to the shared checkpoint folder each round; only a count of changed
+    labels reaches the driver. Null ends and self loops are ignored.
     """
     e = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u is not null and v is not null and u <> v")
     e = cut(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = cut(e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("component")))
-    for _ in range(max_rounds):
+    while True:
         near = e.join(labels, e["v"] == labels["node"]).groupBy("u").agg(F.min("component").alias("m"))
-        step = labels.join(near, labels["node"] == near["u"], "left").select("node", F.least("component", F.coalesce("m", "component")).alias("c"), F.col("component").alias("was"))
-        top = labels.select(F.col("node").alias("t"), F.col("component").alias("tc"))
-        new = cut(step.join(top, step["c"] == top["t"], "left").select("node", F.least("c", F.coalesce("tc", "c")).alias("component"), "was"))
+        step = labels.join(near, labels["node"] == near["u"]).select("node", "component", "m")
+        offers = step.select("node", F.least("component", "m").alias("c"), F.col("component").alias("was"))
+        hooks = step.where("m < component").select(F.col("component").alias("node"), F.col("m").alias("c"), F.lit(None).cast("long").alias("was"))
+        step = cut(offers.unionByName(hooks).groupBy("node").agg(F.min("c").alias("c"), F.max("was").alias("was")))
+        top = step.select(F.col("node").alias("t"), F.col("c").alias("tc"))
+        new = cut(step.join(top, step["c"] == top["t"]).select("node", F.least("c", "tc").alias("component"), "was"))
         changed = new.where("component <> was").limit(1).count()
         labels = new.select("node", "component")
         if not changed:
             return labels
-    raise RuntimeError("components did not settle")

@@ -46,6 +46,12 @@ def test_components_are_transitive(spark):
     assert {r.node: r.component for r in connected_components(edges).collect()} == {5: 2, 4: 2, 3: 2, 2: 2, 10: 10, 11: 10}
 
 
+def test_components_of_a_long_path_settle(spark):
+    order = [0, *range(149, 0, -1)]  # the least label had to walk it node by node
+    edges = spark.createDataFrame(list(zip(order, order[1:], strict=False)), "a long, b long")
+    assert {(r.node, r.component) for r in connected_components(edges).collect()} == {(i, 0) for i in range(150)}
+
+
 def test_thresholds_are_strict(spark):
     o = objects(spark, [(1, 0, 0, 0, 17, 1), (2, 0, 3, 0, 20, 1)])  # intersection 14 of union 20: exactly 0.7
     assert R.duplicate_edges(o, containment=1).count() == 0
