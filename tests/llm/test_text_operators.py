@@ -245,6 +245,17 @@ def test_quality_ratio_separates(spark):
     assert kept >= set(range(40)) and not kept & {100 + i for i in range(10)} - {r.doc_id for r in quality.judge_quality(docs, labels).where("base_failed").collect()}
 
 
+def test_quality_rejects_toxic(spark):
+    rows = [(i, " ".join(f"w{x}" for x in np.random.default_rng(i).integers(0, 300, 120))) for i in range(200)]
+    for i in range(0, 200, 4):  # one document in four holds a few of the words; all are of good quality
+        rows[i] = (i, rows[i][1] + " Moron, you " + ["scum idiot.", "clown idiot!", "scum clown"][i % 3])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(160)] + [(1000, 0, 0)], "doc_id long, quality int, toxic int")
+    judged = quality.judge_quality(docs, labels).where("not base_failed").collect()
+    assert not [r.doc_id for r in judged if r.doc_id % 4 == 0 and r.kept] and [r.doc_id for r in judged if r.doc_id % 4 == 0 and r.doc_id >= 160]
+    assert len([r for r in judged if r.doc_id % 4 and not r.kept]) <= 2
+
+
 def test_language(spark, empty):
     rows = [(i, prose(40, i) if i % 2 else "zürich größe straße und der die " * 5, "aa" if i % 2 else "de") for i in range(60)]
     rows += [(100, None, "aa"), (101, "12 !!", "aa"), (102, "und der größe", None), (None, "und die straße", "de"), (103, "a\0b größe \0\0 der", "de"), (104, "", "de")]
