@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm import decontam, packing, quality, simhash, superkmers
+from spanforge.llm import decontam, nearcopies, packing, quality, superkmers
 from spanforge.llm.idcodec import shared_folder
 from spanforge.session import table
 
-#: Near copies: fingerprints of word pairs. On pairs of texts that share 0.8 or more of their five-word shingles they
-#: differ by few bits, while unrelated texts differ by about half of them.
+#: Near copies share 4 of 5 of their five-word shingles or more (Jaccard), verified exactly. Candidates come from
+#: fingerprints of word pairs within 6 bits and, as those miss many, from bands of minimum hashes.
+NEAR_WORDS, NEAR_SIMILARITY = 5, (4, 5)
 NEAR_SHINGLE, NEAR_RADIUS = 2, 6
 
 
@@ -26,7 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that of the smallest id."""
-    return simhash.drop_near_duplicates(docs, shingle=NEAR_SHINGLE, radius=NEAR_RADIUS)
+    return nearcopies.drop_near_copies(docs, NEAR_WORDS, NEAR_SIMILARITY, NEAR_SHINGLE, NEAR_RADIUS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,17 +34,22 @@ def hash_fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes)).view(np.int64)[0])
 
 
-def text_fingerprint(text: bytes, shingle: int) -> int:
-    """Signed 64-bit fingerprint of the ASCII-lower-cased text's word shingles, repeats included."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """Unsigned 64-bit hashes of the ASCII-lower-cased text's word shingles, repeats included."""
     words = text.lower().split()  # bytes.split: space and the control characters 9 to 13
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     last = ends[shingle - 1 :] if len(words) > shingle else ends[-1:]
     digest = xxhash.xxh64_intdigest
-    return hash_fingerprint(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), last.tolist(), strict=False)), np.uint64, len(last)))
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), last.tolist(), strict=False)), np.uint64, len(last))
+
+
+def text_fingerprint(text: bytes, shingle: int) -> int:
+    """Signed 64-bit fingerprint of the text's word shingles."""
+    return hash_fingerprint(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:

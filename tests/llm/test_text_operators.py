@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from spanforge.llm import bwtdedup, decontam, idcodec, langid, packing, quality, sharding, simhash, superkmers, urls
+from spanforge.llm import bwtdedup, decontam, idcodec, langid, nearcopies, packing, quality, sharding, simhash, superkmers, urls
 from spanforge.llm.tokens import TokenEncoder, default_path
 from tests.compare import differences
 from tests.conftest import SF
@@ -91,6 +91,34 @@ def test_drop_near_duplicates_keeps_one(docs):
     assert 5 not in ids and 2 not in ids and ids.count(None) == 2 and left.columns == docs.columns
 
 
+def test_near_copies_are_verified(spark, empty):
+    def words(seed, n):
+        return [f"w{x}" for x in np.random.default_rng(seed).integers(0, 5000, n)]
+
+    def changed(seed, at):
+        return " ".join("edit" if i in at else w for i, w in enumerate(words(seed, 200)))
+
+    rows = []
+    for i in range(30):
+        base = words(i, 200)
+        rows += [(10 * i, " ".join(base)), (10 * i + 1, " ".join(base + words(1000 + i, 40))), (10 * i + 2, changed(i, {30, 90, 150})), (10 * i + 3, changed(i, set(range(15, 200, 19))))]
+    rows += [(10, " ".join(words(5000, 90))), (10, " ".join(words(2, 200))), (7000, " ".join(words(7000, 60))), (7000, " ".join(words(7000, 60))), (None, " ".join(words(8000, 60))), (None, " ".join(words(8000, 60)))]
+    sets = [nearcopies.shingle_set(t.encode(), 5) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 9 * both >= 4 * (len(sets[i]) + len(sets[j])) and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    want = {}
+    for (d, t), g in zip(rows, group, strict=True):
+        want[g] = min(want.get(g, (True, 0, "x")), (d is None, d or 0, t))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = nearcopies.drop_near_copies(docs).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in got) == sorted(want.values())
+    assert nearcopies.drop_near_copies(empty).count() == 0
+
+
 def test_substring_words(docs, empty):
     rows = [(d, WORD.findall(t or "")) for d, t, *_ in awkward()]
     first = {}
