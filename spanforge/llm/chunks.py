@@ -22,6 +22,7 @@ NO_ID = np.iinfo(np.int64).max  # rows without an id rank after all others
 
 def release() -> None:
     """Give freed memory back to the system, so that idle workers stay small."""
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
         libc.malloc_trim(0)

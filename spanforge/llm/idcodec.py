@@ -21,8 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm.chunks import small_batches
-from spanforge.llm.tokens import TokenEncoder, default_path
+from spanforge.llm.chunks import release, small_batches
+from spanforge.llm.tokens import TokenEncoder, default_path, slices
 from spanforge.session import ensure_checkpoint_dir
 
 #: Selector to (values, bits). Fixed values of the published code, but for selector 1.
@@ -30,40 +30,69 @@ LAYOUT = {0: (240, 0), 2: (60, 1), 3: (30, 2), 4: (20, 3), 5: (15, 4), 6: (12, 5
 ESCAPE = 1
 FRAME = 1024
 BLOCK_IDS = 1 << 17
-BATCH_ROWS = 2000
+PART_BYTES = 32 << 20  # of text in a partition
+#: (values, bits, selector) of words of several values, by rising count.
+RUNS = sorted((count, bits, selector) for selector, (count, bits) in LAYOUT.items() if count > 1)
+ESCAPED = 255  # in place of a count
+_STEPS = np.where(np.arange(256) == ESCAPED, 1, np.arange(256))
+_SELECTORS = np.zeros(256, np.int64)
+_SELECTORS[[count for count, _ in LAYOUT.values()]] = list(LAYOUT)
+_SELECTORS[ESCAPED] = ESCAPE
+_WIDTHS = np.ceil(np.log2(np.arange(1 << 16) + 1)).astype(np.uint8)
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit words, word offset of each frame). Any unsigned 64-bit values, any count."""
-    v = values.astype(np.uint64)
-    n = len(v)
+    n = len(values)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    frame_end = np.minimum((np.arange(n) // FRAME + 1) * FRAME, n)
-    take, pick = np.ones(n, np.int64), np.full(n, ESCAPE, np.int64)
-    wide = np.concatenate(([0], np.cumsum(v >> np.uint64(60) != 0)))
-    for selector, (count, bits) in sorted(LAYOUT.items(), reverse=True):
-        over = wide if bits == 60 else np.concatenate(([0], np.cumsum(v >> np.uint64(bits) != 0)))
-        stop = np.arange(n) + count
-        fits = stop <= frame_end
-        fits[fits] = over[stop[fits]] == over[:n][fits]
-        take[fits], pick[fits] = count, selector
-    return _lay_out(v, take, pick)
-
-
-def _lay_out(v: np.ndarray, take: np.ndarray, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Follow every frame's chain of words in step, then fill the words selector by selector."""
+    widest, reach = bit_widths(values), 1  # of each run of ``reach`` values
+    take = np.where(widest <= 60, 1, ESCAPED).astype(np.uint8)
+    for count, bits, selector in RUNS:  # a longer run has fewer bits a value: where it fits, the shorter ones do
+        if n < count:
+            break
+        while reach < count:
+            step = min(reach, count - reach)
+            widest = np.maximum(widest[: len(widest) - step], widest[step:])
+            reach += step
+        fits = np.flatnonzero(widest <= bits)
+        fits = fits[fits % FRAME <= FRAME - count]
+        if not len(fits):
+            if not (widest <= bits).any():
+                break
+            continue
+        take[fits] = count
+    return _lay_out(values, take)
+
+
+def bit_widths(values: np.ndarray) -> np.ndarray:
+    """Bits of each unsigned value; of the common small ones by a table."""
+    if values.dtype.itemsize > 2:
+        out = np.zeros(len(values), np.uint8)
+        for bits in sorted({bits for _, bits in LAYOUT.values()} - {60}):
+            out[values.astype(np.uint64) >> np.uint64(bits) != 0] = bits + 1
+        out[values.astype(np.uint64) >> np.uint64(60) != 0] = 61
+        return out
+    return _WIDTHS[values]
+
+
+def _lay_out(v: np.ndarray, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Follow every frame's chain of words in step, then fill the words selector by selector.
+
+    ``take``: how many values the word that starts at a value holds, or ESCAPED.
+    """
     n = len(v)
     at = np.arange(0, n, FRAME)
     ends = np.minimum(at + FRAME, n)
     chain = np.zeros(n, bool)
+    step = _STEPS[take]
     while len(at):
         chain[at] = True
-        at = at + take[at]
+        at = at + step[at]
         live = at < ends
         at, ends = at[live], ends[live]
     start = np.flatnonzero(chain)
-    sel = pick[start]
+    sel = _SELECTORS[take[start]]
     place = np.cumsum(1 + (sel == ESCAPE)) - 1 - (sel == ESCAPE)
     words = np.zeros(int(place[-1]) + 1 + int(sel[-1] == ESCAPE), np.uint64)
     for selector, (count, bits) in LAYOUT.items():
@@ -73,7 +102,7 @@ def _lay_out(v: np.ndarray, take: np.ndarray, pick: np.ndarray) -> tuple[np.ndar
         word = np.full(len(own), selector << 60, np.uint64)
         if bits:
             for k in range(count):
-                word |= v[start[own] + k] << np.uint64(bits * k)
+                word |= v[start[own] + k].astype(np.uint64) << np.uint64(bits * k)
         words[place[own]] = word
     escaped = np.flatnonzero(sel == ESCAPE)
     words[place[escaped]] = np.uint64(ESCAPE << 60)
@@ -130,8 +159,8 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int
 
         size = 0
         for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_ROWS):
-                b = whole.slice(at, BATCH_ROWS)
+            for at, stop in slices(whole.column(1)):
+                b = whole.slice(at, stop - at)
                 counts, ids = encoder.encode(b.column(1))
                 held.append((b.column(0).to_pylist(), counts + 1, np.insert(ids, np.cumsum(counts), end_id)))
                 size += len(held[-1][2])
@@ -140,10 +169,13 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int
                     size = 0
         if held:
             yield flush()
+        release()
 
     rows = small_batches(docs).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, "id").sortWithinPartitions("id")
+    size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // PART_BYTES + 1)
+    # Rows that repeat an id, or lack one, may lie in several ranges: the text's hash tells them apart.
+    ordered = rows.withColumn("h", F.xxhash64("t")).repartitionByRange(parts, "id", "h").sortWithinPartitions("id", "h").select("id", "t")
     schema = "part int, block int, doc_ids array<long>, doc_tokens array<long>, frame_words array<long>, words binary"
     ordered.mapInArrow(run, schema).write.option("compression", "uncompressed").mode("overwrite").parquet(folder)
 

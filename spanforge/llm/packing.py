@@ -1,7 +1,7 @@
 """Packing along a space-filling curve.
 
-A document's token counts, as a hashed vector, are projected to a few dimensions by hashed signs; the cell's Hilbert
-key orders documents, and neighbours along the curve are laid end to end into sequences, cut wherever one fills up.
+A document's token counts, hashed to VECTOR places and scaled to length one, are projected to a few dimensions by
+random signs; the cell's Hilbert key orders documents, and neighbours along the curve are laid end to end into sequences, cut wherever one fills up.
 Only a partition's last sequence is padded. Null text is empty and holds the end id alone; rows with null or repeated
 ids are packed like any other.
 """
@@ -19,21 +19,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.llm.chunks import release, small_batches
-from spanforge.llm.tokens import TokenEncoder, default_path
+from spanforge.llm.tokens import TokenEncoder, default_path, slices
 from spanforge.session import cut
 
 DIMS, BITS = 3, 10
 SPREAD = 4.0  # projections are clipped to this many standard deviations
-ROUTE_SAMPLE = 4_000  # documents read to place the partitions' borders; routing only
-BATCH_ROWS = 2000
+VECTOR = 256  # places of a document's hashed vector
+ROUTE_SAMPLE = 4_000  # documents expected in the sample that places the partitions' borders; routing only
+PART_BYTES = 16 << 20  # of text in a partition
+BATCH_BYTES = 8 << 20  # of text whose ids are held at once
 
 
-def sign_table(vocab: int, dims: int = DIMS) -> np.ndarray:
-    """Hashed signs: a row per token id."""
-    x = np.arange(vocab * dims, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+def hashed(n: int, salt: int) -> np.ndarray:
+    """A well-mixed 64-bit value for each whole number under ``n``."""
+    x = np.arange(n, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15 + (salt << 32))
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return np.where((x >> np.uint64(63)).astype(bool), 1.0, -1.0).reshape(vocab, dims)
+    return x ^ (x >> np.uint64(31))
+
+
+def sign_table(dims: int = DIMS) -> np.ndarray:
+    """Random signs: a row per place of the hashed vector."""
+    return np.where(hashed(VECTOR * dims, 1) >> np.uint64(63) != 0, 1.0, -1.0).reshape(VECTOR, dims)
+
+
+def place_table(vocab: int) -> np.ndarray:
+    """The place of each token id in the hashed vector."""
+    return (hashed(vocab, 2) % np.uint64(VECTOR)).astype(np.int32)
 
 
 def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -60,15 +72,16 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def vector_keys(counts: np.ndarray, ids: np.ndarray, signs: np.ndarray) -> np.ndarray:
-    """Hilbert key of each document from its ids."""
-    if not len(counts):
+def vector_keys(counts: np.ndarray, ids: np.ndarray, places: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """Hilbert key of each document from its ids; a document without ids lies in the middle."""
+    n = len(counts)
+    if not n:
         return np.zeros(0, np.int64)
-    ends = np.cumsum(counts)
-    total = np.stack([np.concatenate(([0.0], np.cumsum(signs[:, d][ids])))[[ends, ends - counts]] for d in range(signs.shape[1])])
-    unit = (total[:, 0] - total[:, 1]) / np.sqrt(np.maximum(counts, 1))
+    vectors = np.bincount(np.repeat(np.arange(n) * VECTOR, counts) + places[ids], minlength=n * VECTOR).reshape(n, VECTOR)
+    length = np.sqrt((vectors.astype(float) ** 2).sum(1))
+    unit = vectors @ signs / np.maximum(length, 1)[:, None]
     cells = np.clip((unit + SPREAD) / (2 * SPREAD) * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
-    return hilbert_key(cells.T)
+    return hilbert_key(cells)
 
 
 def keyed_tokens(docs: DataFrame, path: str, end_id: int, key: str, text: str, borders: list[tuple[int, int]] | None = None) -> DataFrame:
@@ -77,12 +90,12 @@ def keyed_tokens(docs: DataFrame, path: str, end_id: int, key: str, text: str, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TokenEncoder.of(path)
-        signs = sign_table(1 << (16 if encoder.dtype == np.uint16 else 20))
+        signs, places = sign_table(), place_table(len(encoder.spaced))
         for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_ROWS):
-                b = whole.slice(at, BATCH_ROWS)
+            for at, stop in slices(whole.column(1), BATCH_BYTES):
+                b = whole.slice(at, stop - at)
                 counts, ids = encoder.encode(b.column(1))
-                curve = vector_keys(counts, ids, signs)
+                curve = vector_keys(counts, ids, places, signs)
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id)
                 offsets = np.concatenate(([0], ends + np.arange(1, len(ends) + 1))) * ids.itemsize
@@ -101,15 +114,15 @@ def pack(docs: DataFrame, length: int = 1024, path: str | None = None, end_id: i
 
     ``digest``: ``ids_crc32``, over little-endian unsigned 32-bit ids, in place of ``ids``.
 
-    Documents are dealt to partitions by (Hilbert key, id), whose borders come from a bounded sample, and packed while
-    they stream by. Sequence numbers are made consecutive from each partition's count.
+    Documents are dealt to partitions of about PART_BYTES by (Hilbert key, id), whose borders come from a sample of
+    ROUTE_SAMPLE documents or 20 a partition, and packed while they stream by. Sequence numbers are made consecutive from each partition's count.
     """
     path = path or default_path()
     wide = 2 if TokenEncoder.of(path).dtype == np.uint16 else 4
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = docs.count()
-    sample = docs if n <= ROUTE_SAMPLE else docs.sample(min(1.0, 1.2 * ROUTE_SAMPLE / n), seed=1).limit(2 * ROUTE_SAMPLE)
+    found = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(text).cast("string"))).alias("size")).first()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (found["size"] or 0) // PART_BYTES + 1)
+    sample = docs.sample(min(1.0, max(ROUTE_SAMPLE, 20 * parts) / max(1, found["n"])), seed=1)
     seen = sorted((r["curve"], r["id"] if r["id"] is not None else -1) for r in keyed_tokens(sample, path, end_id, key, text).select("curve", "id").collect())
     borders = [seen[len(seen) * i // parts] for i in range(1, parts)] if seen else []
 

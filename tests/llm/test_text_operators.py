@@ -179,7 +179,6 @@ def encoded(rows, end):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(default_path())
-    t.encode_special_tokens = True
     return [(d, [*t.encode(x or "", add_special_tokens=False).ids, end]) for d, x, *_ in rows]
 
 
