@@ -322,6 +322,66 @@ def test_near_leak_threshold(spark):
     assert [(r.doc_id, r.item_id, round(r.similarity, 6), r.window_start) for r in got] == [(1, 9, round(51 / 61, 6), 1)]
 
 
+def brute_leaks(docs, items):
+    """All (doc, item) with a window of weighted Jaccard of 0.8 or more, over every window; texts of 5 words and more."""
+    def bag(t):
+        w = t.lower().split()
+        return [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+
+    out = set()
+    for d, t in docs:
+        b = bag(t)
+        for i, x in items:
+            own = Counter(bag(x))
+            n = sum(own.values())
+            for at in range(max(1, len(b) - n + 1)):
+                win = Counter(b[at : at + n])
+                both = sum((win & own).values())
+                if 9 * both >= 4 * (n + sum(win.values())):
+                    out.add((d, i))
+                    break
+    return out
+
+
+def test_leaks_against_all_windows(spark):
+    r = np.random.default_rng(3)
+    words = lambda n: [f"w{x}" for x in r.integers(0, 4000, n)]
+    items = [(i, words(int(r.integers(20, 70)))) for i in range(12)]
+    docs = []
+    for i, x in items:
+        n = len(x)
+        spread = ["edit" if k in {n // 5, n // 2} else w for k, w in enumerate(x)]
+        variants = [x, x[n // 2 :] + x[: n // 2], x[: n // 3] + ["one", "more"] + x[n // 3 :], x[2:], x[: -n // 12], spread, x[: n // 2], ["edit"] + x[1:-1] + ["edit"], x[:5] + x[:5] + x, x[: n // 4] + x[n // 4 + 1 :]]
+        docs += [(100 * i + k, " ".join(words(40) + v + words(60))) for k, v in enumerate(variants)] + [(100 * i + 50, " ".join(x[: n - 3])), (100 * i + 51, " ".join(words(90)))]
+    text = [(i, " ".join(x)) for i, x in items] + [(90, "one two"), (91, "yes"), (92, "one two"), (93, " ")]
+    extra = [(9000, "say one TWO three"), (9001, "yes"), (9002, None), (9003, ""), (9004, "one. two")]
+    want = brute_leaks(docs, [(i, t) for i, t in text if i < 90]) | {(9000, 90), (9000, 92), (9001, 91)}
+    frame = spark.createDataFrame(docs + extra, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("n", "size", "item_id", "mark")}).repartition(3)
+    bench = spark.createDataFrame(text, "item_id long, text string").withColumn("doc_id", F.lit("clash"))
+    got = {(x.doc_id, x.item_id) for x in decontam.find_leaks(frame, bench).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want) and len(want) > 60
+    assert {(100 * i, i) for i in range(12)} <= got
+    swapped = {(100 * i + 1, i) for i in range(12)} & want
+    assert swapped and len(swapped & got) >= 0.9 * len(swapped)
+    assert sorted(decontam.decontaminate(frame, bench).columns) == sorted(frame.columns)
+
+
+def test_reordered_passage_is_found(spark):
+    item = [f"w{i}" for i in range(60)]
+    doc = [f"a{i}" for i in range(100)] + item[30:] + item[:30] + [f"b{i}" for i in range(100)]
+    docs = spark.createDataFrame([(1, " ".join(doc))], "doc_id long, text string")
+    items = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, items).collect()] == [(1, 9)]
+
+
+def test_block_index_is_complete(spark):
+    r = np.random.default_rng(1)
+    base = r.integers(-(1 << 63), 1 << 63, 60, dtype=np.int64)
+    flipped = [int(b) ^ int(np.bitwise_or.reduce(np.uint64(1) << r.choice(64, decontam.RADIUS, replace=False).astype(np.uint64)).view(np.int64)) for b in base]
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(base, flipped, strict=True)], "x long, y long")
+    assert df.where(F.size(F.array_intersect(decontam.near_blocks("x", decontam.RADIUS), decontam.blocks("y"))) > 0).count() == 60
+
+
 def test_urls(spark):
     rules = urls.rules_frame(spark, [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"), ("a.b/x", "block")])
     cases = [("http://X.Example.NET/en/1", "example.net/en/", "allow"), ("http://example.net/EN/", "net/", "block"), ("http://net?x", None, "allow"), ("http://q.net/?x", "net/", "block"), ("ftp://badnet/", None, "allow"),
