@@ -6,6 +6,7 @@ component of their fingerprint, which is null only if no row of that component h
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -20,8 +21,8 @@ from spanforge.operators.components import connected_components
 from spanforge.session import cut
 
 SEED = 42
-PIVOTS = 24  # reference fingerprints
-SPARE_BLOCKS = 2  # blocks beyond the radius: two fingerprints within it agree on at least this many
+PIVOTS = 24  # reference fingerprints, chosen among
+PIVOT_SAMPLE = 1024  # fingerprints of the smallest hashes
 CELL_ROWS = 4096  # larger cells are dealt out as pairs of parts
 CHUNK_ROWS = 1 << 16
 
@@ -64,11 +65,26 @@ def fingerprints(docs: DataFrame, shingle: int = 4, key: str = "doc_id", text: s
     return rows.mapInArrow(run, "id long, fp long").withColumnRenamed("id", key)
 
 
-def pivot_fingerprints(n: int = PIVOTS) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(f"pivot {i}", SEED) for i in range(n)], np.uint64)
+def pivot_fingerprints(sample: np.ndarray, n: int = PIVOTS) -> np.ndarray:
+    """At most ``n`` of the sample, farthest first: each lies as far as possible from those before it."""
+    if not len(sample):
+        return np.zeros(1, np.uint64)
+    chosen, far = [], np.full(len(sample), 64)
+    for _ in range(min(n, len(sample))):
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, np.bitwise_count(sample ^ sample[chosen[-1]]))
+    return sample[chosen]
 
 
-def block_masks(radius: int, spare: int = SPARE_BLOCKS) -> list[int]:
+def spare_blocks(n: int, radius: int) -> int:
+    """Blocks beyond the radius for ``n`` fingerprints. Any number is exact: two fingerprints within the radius agree on
+    at least that many. More of them mean more cells for each fingerprint and fewer strangers in a cell; this is the
+    number with the least of both, so cells stay small however many fingerprints there are."""
+    rows = lambda s: math.comb(radius + s, s) * (1 + n / 2 ** (64 * s // (radius + s)))
+    return min(range(1, 9), key=rows)
+
+
+def block_masks(radius: int, spare: int) -> list[int]:
     """Masks of every choice of ``spare`` out of ``radius + spare`` bit blocks: fingerprints within the radius agree
     under at least one, since ``radius`` differing bits touch at most ``radius`` blocks."""
     n = radius + spare
@@ -94,22 +110,33 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def link_cells(cell: np.ndarray, fp: np.ndarray, radius: int, pivots: np.ndarray) -> np.ndarray:
     """Root index of each row, linking rows of equal cell within ``radius``; rows are sorted by cell.
 
-    ``table`` holds the distances to the pivots. A pair is discarded at the first pivot where its two distances differ
-    by more than the radius (the triangle inequality rules it out); survivors are verified bit by bit.
+    ``table`` holds the distances to the pivots. Inside a cell rows are put in order of the first coordinate, and only
+    rows whose first coordinates differ by at most the radius ever become a pair; a pair is discarded at the first
+    further coordinate that differs by more (the triangle inequality rules it out), and survivors are verified.
     """
-    n = len(fp)
     table = np.bitwise_count(fp[None, :] ^ pivots[:, None]).astype(np.int8)
+    order = np.lexsort((table[0], cell))
+    root = _link_ordered(cell[order], fp[order], table[:, order], radius)
+    low = np.full(len(fp), len(fp))
+    np.minimum.at(low, root, order)  # a tree hangs on its smallest row
+    out = np.empty(len(fp), np.int64)
+    out[order] = low[root]
+    return out
+
+
+def _link_ordered(cell: np.ndarray, fp: np.ndarray, table: np.ndarray, radius: int) -> np.ndarray:
+    n = len(fp)
     root = np.arange(n)
     near_a, near_b, held = [], [], 0
     alive, step = np.arange(n), 0
     while True:
         step += 1
         alive = alive[: np.searchsorted(alive, n - step)]
-        alive = alive[cell[alive] == cell[alive + step]]
+        alive = alive[(cell[alive] == cell[alive + step]) & (table[0][alive + step] - table[0][alive] <= radius)]
         if not len(alive):
             break
         left = alive
-        for row in table:
+        for row in table[1:]:
             left = left[np.abs(row[left] - row[left + step]) <= radius]
             if not len(left):
                 break
@@ -125,16 +152,18 @@ def link_cells(cell: np.ndarray, fp: np.ndarray, radius: int, pivots: np.ndarray
     return root
 
 
-def fingerprint_links(nodes: DataFrame, radius: int, spare: int = SPARE_BLOCKS, n_pivots: int = PIVOTS) -> DataFrame:
+def fingerprint_links(nodes: DataFrame, radius: int, spare: int | None = None, n_pivots: int = PIVOTS) -> DataFrame:
     """Edges ``(a, b)`` between ids of distinct fingerprints that connect all pairs within ``radius``.
 
-    ``nodes``: one row ``(node, fp)`` per distinct fingerprint. Every fingerprint goes to one cell per block choice.
+    ``nodes``: one row ``(node, fp)`` per distinct fingerprint. Every fingerprint goes to one cell per block choice, and
+    the distances to pivots, taken from a bounded sample of the fingerprints, pair the rows of a cell.
     A cell of more than CELL_ROWS rows is dealt out as pairs of its parts, so no task holds a whole hot cell, and each
     task returns a spanning forest instead of all pairs. Trees hang on their smallest node, so that the cells in which
     a group meets again return the same edges.
     """
-    masks = block_masks(radius, spare)
-    pivots = pivot_fingerprints(n_pivots)
+    masks = block_masks(radius, spare or spare_blocks(nodes.count(), radius))
+    sample = nodes.orderBy(F.xxhash64("fp"), "fp").limit(PIVOT_SAMPLE).select("fp").collect()
+    pivots = pivot_fingerprints(np.array([r[0] for r in sample], np.int64).view(np.uint64), n_pivots)
     cells = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m if m < 1 << 63 else m - (1 << 64)))) for i, m in enumerate(masks)])
     spread = nodes.select("node", "fp", F.explode(cells).alias("cell"))
     hot = spread.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CELL_ROWS).select("cell", F.ceil(F.col("n") * 2 / CELL_ROWS).cast("int").alias("parts"))
