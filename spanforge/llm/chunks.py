@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BATCH_ROWS = 2_000
 CHUNK_BYTES = 4 << 20
@@ -36,23 +37,38 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def set_aside(df: DataFrame, own: list[str]) -> DataFrame:
+    """Rename columns that bear the name of one of an operator's ``own`` columns: ``<name>_input``, until it is free."""
+    taken = {c.lower() for c in [*df.columns, *own]}
+    for c in df.columns:
+        if c.lower() in {o.lower() for o in own}:
+            name = f"{c}_input"
+            while name.lower() in taken:
+                name += "_input"
+            taken.add(name.lower())
+            df = df.withColumnRenamed(c, name)
+    return df
+
+
 def chunked(docs: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES, carry: list[str] | None = None) -> tuple[DataFrame, int]:
-    """(``chunk, id, t, rest``) exchanged by chunk, and the number of chunks. ``rest``: the columns ``carry`` as JSON."""
+    """(``chunk, id, t, rest``) exchanged by chunk, and the number of chunks. ``rest``: a struct of the columns ``carry``, as c0, c1, ..."""
     size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     n = int(size // chunk_bytes) + 1
-    rows = docs.select(F.pmod(F.xxhash64(F.col(key).cast("long"), F.lit("chunk")), F.lit(n)).cast("int").alias("chunk"), F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"), F.to_json(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])).alias("rest") if carry else F.lit("").alias("rest"))
+    rows = docs.select(F.pmod(F.xxhash64(F.col(key).cast("long"), F.lit("chunk")), F.lit(n)).cast("int").alias("chunk"), F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"), F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]).alias("rest") if carry else F.lit(0).alias("rest"))
     return rows.repartition("chunk"), n
 
 
-def ordered(ids: list, texts: list, rest: list) -> list[tuple[int | None, bytes | None, str]]:
-    """The chunk's rows in one order whatever the order of arrival: by id, rows without one last, then by text."""
-    return sorted(zip(ids, texts, rest, strict=True), key=lambda r: (NO_ID if r[0] is None else r[0], r[0] is None, r[1] is None, r[1] or b"", r[2]))
+def ordered(ids: list, texts: list) -> list[tuple[int | None, bytes | None, int]]:
+    """(id, text, place) of the chunk's rows in one order whatever the order of arrival: by id, rows without one last,
+    then by text. Rows that repeat id and text are alike to every pass."""
+    return sorted(zip(ids, texts, range(len(ids)), strict=True), key=lambda r: (NO_ID if r[0] is None else r[0], r[0] is None, r[1] is None, r[1] or b""))
 
 
-def per_chunk(text: DataFrame, run: Callable, schema: str, *notes: DataFrame) -> DataFrame:
+def per_chunk(text: DataFrame, run: Callable, schema: str, *notes: DataFrame, carry: bool = False) -> DataFrame:
     """Apply ``run(rows, notes) -> record batches`` to every chunk.
 
-    ``rows`` are the chunk's ordered (id, text bytes, rest); ``notes`` its (kind, bucket, payload) rows from earlier passes.
+    ``rows`` are the chunk's ordered (id, text bytes, place); ``notes`` its (kind, bucket, payload) rows from earlier
+    passes. ``carry``: the last column of ``schema``, a place, becomes the row's ``rest``, as Arrow holds it.
     """
 
     def body(rows: pa.Table, extra: pa.Table | None) -> Iterator[pa.RecordBatch]:
@@ -60,16 +76,26 @@ def per_chunk(text: DataFrame, run: Callable, schema: str, *notes: DataFrame) ->
             return
         chunk = rows.column("chunk")[0].as_py()
         told = {} if extra is None else {(r["kind"], r["bucket"]): r["payload"] for r in extra.to_pylist()}
-        got = ordered(rows.column("id").to_pylist(), rows.column("t").cast(pa.binary()).to_pylist(), rows.column("rest").to_pylist())
+        got = ordered(rows.column("id").to_pylist(), rows.column("t").cast(pa.binary()).to_pylist())
         yield from run(chunk, got, told)
         release()
 
+    def whole(rows: pa.Table, extra: pa.Table | None) -> pa.Table:
+        out = pa.Table.from_batches(list(body(rows, extra)), arrow_schema(schema))
+        if carry:
+            places = out.column(out.num_columns - 1)
+            out = out.set_column(out.num_columns - 1, "rest", rows.column("rest").combine_chunks().take(places))
+        return out
+
+    kinds: str | StructType = schema
+    if carry:
+        kinds = StructType([*StructType.fromDDL(schema).fields[:-1], text.schema["rest"]])
     if not notes:
-        return text.groupBy("chunk").applyInArrow(lambda rows: pa.Table.from_batches(list(body(rows, None)), arrow_schema(schema)), schema)
+        return text.groupBy("chunk").applyInArrow(lambda rows: whole(rows, None), kinds)
     told = notes[0]
     for more in notes[1:]:
         told = told.unionByName(more)
-    return text.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(lambda rows, extra: pa.Table.from_batches(list(body(rows, extra)), arrow_schema(schema)), schema)
+    return text.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(whole, kinds)
 
 
 _KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string()}

@@ -22,7 +22,6 @@ from spanforge.llm.chunks import small_batches
 
 DIM = 1024
 CLASSES = 64  # letter classes; 0 is a gap between words
-MAX_LANGUAGES = 1_000  # bound of the profiles that reach the driver
 SLICE_CHARS = 1 << 18
 SLICE_ROWS = 256
 
@@ -62,7 +61,10 @@ def text_grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(t or "") + 4 for t in texts])
         sizes[-1] -= 2
         owner = np.repeat(np.arange(len(texts)), sizes)
-    keep = np.concatenate(([True], (classes[1:] > 0) | (classes[:-1] > 0)))
+    letter = classes > 0
+    keep = letter.copy()  # and the gaps beside a letter
+    keep[1:] |= letter[:-1]
+    keep[:-1] |= letter[1:]
     classes, owner = classes[keep].astype(np.int64), owner[keep]
     code = (classes[:-2] * CLASSES + classes[1:-1]) * CLASSES + classes[2:]
     ok = (owner[2:] == owner[:-2]) & (classes[1:-1] > 0)
@@ -83,7 +85,8 @@ def _slices(texts: list) -> Iterator[tuple[int, int]]:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
     """Profiles of all languages of ``docs``: trigram counts are summed over all rows before any vector is made.
 
-    What reaches the driver is one count per language and trigram, at most MAX_LANGUAGES times CLASSES**3.
+    Counts become vectors and are added up on the executors; what reaches the driver is one vector of DIM whole numbers
+    per language.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,19 +105,23 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
 
     known = small_batches(docs).where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("t"))
     counts = known.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    found: dict[str, list] = {}
-    for row in counts.collect():
-        found.setdefault(row["lang"], []).append((row["code"], row["n"]))
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    out = {}
-    for name in sorted(found):
-        pairs = np.array(sorted(found[name]))
-        bundle = np.zeros(DIM)
-        for at in range(0, len(pairs), 4096):
-            bundle += pairs[at : at + 4096, 1].astype(float) @ gram_vectors(pairs[at : at + 4096, 0]).astype(float)
-        out[name] = bundle
-    return out
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for b in batches:
+            langs, codes, n = np.array(b.column(0).to_pylist(), object), b.column(1).to_numpy(), b.column(2).to_numpy()
+            for name in set(langs.tolist()):
+                own = np.flatnonzero(langs == name)
+                bundle = sums.setdefault(name, np.zeros(DIM, np.int64))
+                for at in range(0, len(own), 4096):
+                    part = own[at : at + 4096]
+                    bundle += n[part] @ gram_vectors(codes[part]).astype(np.int64)
+        for name, bundle in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name] * DIM), pa.array(np.arange(DIM, dtype=np.int32)), pa.array(bundle)], names=["lang", "place", "value"])
+
+    bundles = counts.mapInArrow(add_up, "lang string, place int, value long").groupBy("lang", "place").agg(F.sum("value").alias("value"))
+    rows = bundles.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("bundle")).collect()
+    return {r["lang"]: np.array([x["value"] for x in r["bundle"]], float) for r in sorted(rows, key=lambda r: r["lang"])}
 
 
 def predict_texts(texts: list[str | None], names: list[str], profiles: np.ndarray) -> tuple[list[str], list[float]]:

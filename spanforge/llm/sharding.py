@@ -2,7 +2,8 @@
 
 Every shard ranks all slots of a prime-sized table by its own permutation (offset and skip taken from hashes of its
 name); shards take turns, in proportion to their weights, claiming the first free slot of their ranking. A key's slot
-is its hash modulo the table size, so placement is one look-up, and adding or losing a shard moves few keys.
+is its hash modulo the table size, so placement is one look-up, and adding or losing a shard moves few keys. Columns called like the operator's own keep their values under
+``<name>_input``.
 
 Null handling: a null key is hashed as null (a fixed slot). Rows are never dropped; repeated keys share a shard.
 """
@@ -14,6 +15,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanforge.llm.chunks import set_aside
+
 TABLE_SIZE = 65_537
 MAX_TABLE_SIZE = 1_000_003
 
@@ -55,12 +58,14 @@ def table_frame(spark: SparkSession, shards: list[str], size: int = TABLE_SIZE,
 def assign_shards(df: DataFrame, key: str, shards: list[str], size: int = TABLE_SIZE, weights: dict[str, int] | None = None) -> DataFrame:
     """Add ``slot, shard_id, shard``. The table (at most MAX_TABLE_SIZE rows) is broadcast; there is no shuffle."""
     table = F.broadcast(table_frame(df.sparkSession, shards, size, weights)).withColumnRenamed("slot", "_slot")
-    placed = df.drop("slot", "shard_id", "shard").withColumn("slot", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(size)))
+    aside = set_aside(df, ["slot", "shard_id", "shard"])
+    key = dict(zip(df.columns, aside.columns, strict=True))[key]
+    placed = aside.withColumn("slot", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(size)))
     return placed.join(table, placed["slot"] == table["_slot"]).drop("_slot")
 
 
 def write_shards(df: DataFrame, path: str, key: str, shards: list[str], files_per_shard: int = 8, **kw) -> None:
     """Write one folder per shard; a shard's rows are salted over ``files_per_shard`` tasks so that none is hot."""
     placed = assign_shards(df, key, shards, **kw)
-    salted = placed.repartition(F.col("shard_id"), F.pmod(F.xxhash64(F.struct(*df.columns)), F.lit(files_per_shard)))
+    salted = placed.repartition(F.col("shard_id"), F.pmod(F.xxhash64(*[c for c, kind in placed.dtypes if "map<" not in kind and "variant" not in kind]), F.lit(files_per_shard)))
     salted.write.mode("overwrite").partitionBy("shard").parquet(path)

@@ -145,7 +145,7 @@ def repeated_words(docs: DataFrame, schema: str, emit, window: int = WINDOW, min
         yield C.batch(schema, *map(list, zip(*out, strict=True)))
 
     flags = C.per_bucket(C.per_chunk(chunk_text, send, BLOB), judge)
-    return C.per_chunk(chunk_text, apply, schema, flags)
+    return C.per_chunk(chunk_text, apply, schema, flags, carry=bool(carry))
 
 
 def _kept(words: list[bytes], gone: np.ndarray) -> bytes:
@@ -155,22 +155,21 @@ def _kept(words: list[bytes], gone: np.ndarray) -> bytes:
 def dedup_text(docs: DataFrame, key: str = "doc_id", text: str = "text", **kw) -> DataFrame:
     """Rows of ``docs``, all columns, with the repeated words cut out of ``text``, plus ``n_words, n_removed``.
 
-    A text that loses nothing stays as it is; of others the kept words are joined by one space.
+    A text that loses nothing stays as it is; of others the kept words are joined by one space. Other columns of any type
+    are carried unchanged; those that are called ``n_words`` or ``n_removed`` are returned as ``<name>_input``.
     """
+    docs = C.set_aside(docs, ["n_words", "n_removed"])
 
     def emit(row, words, gone):
-        doc, data, rest = row
+        doc, data, place = row
         kept = _kept(words, gone) if gone.any() else data
-        return doc, None if kept is None else kept.decode("utf-8", "replace"), rest, len(words), int(gone.sum())
+        return doc, None if kept is None else kept.decode("utf-8", "replace"), len(words), int(gone.sum()), place
 
     carry = [c for c in docs.columns if c not in (key, text)]
-    out = repeated_words(docs, "id long, t string, rest string, n_words long, n_removed long", emit, key=key, text=text, carry=carry, **kw)
+    out = repeated_words(docs, "id long, t string, n_words long, n_removed long, rest long", emit, key=key, text=text, carry=carry, **kw)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    if carry:
-        out = out.withColumn("rest", F.from_json("rest", "struct<" + ",".join(f"c{i}:{kinds[c]}" for i, c in enumerate(carry)) + ">"))
     columns = {key: F.col("id").cast(kinds[key]), text: F.col("t")} | {c: F.col(f"rest.c{i}") for i, c in enumerate(carry)}
-    extra = [F.col(c).alias(c) for c in ("n_words", "n_removed") if c not in docs.columns]
-    return out.select(*[columns[c].alias(c) for c in docs.columns], *extra)
+    return out.select(*[columns[c].alias(c) for c in docs.columns], "n_words", "n_removed")
 
 
 def dedup_digest(docs: DataFrame, key: str = "doc_id", text: str = "text", **kw) -> DataFrame:

@@ -413,6 +413,97 @@ def test_sharding(spark):
             bad()
 
 
+def clashing(spark):
+    """A table whose further columns bear operators' names and hold what JSON would lose."""
+    import datetime
+
+    rows = [(i, prose(70, i % 3), datetime.datetime(2024, 1, 2, 3, 4, 5, 123456), {1: "a b"}, (7, "x"), i) for i in range(6)]
+    return spark.createDataFrame(rows, "doc_id long, text string, n_words timestamp, kept map<int,string>, shard struct<`a b`:int,n_removed:string>, slot long")
+
+
+def test_clashing_columns(spark):
+    df = clashing(spark)
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
+    rest = ["n_words", "kept", "shard", "slot"]
+    want = {r.doc_id: tuple(r[c] for c in rest) for r in df.collect()}
+    out = superkmers.dedup_text(df)
+    assert out.columns == ["doc_id", "text", "n_words_input", "kept", "shard", "slot", "n_words", "n_removed"]
+    got = out.collect()
+    assert {r.doc_id: (r.n_words_input, r.kept, r.shard, r.slot) for r in got} == want and {r.n_removed > 0 for r in got if r.doc_id > 2} == {True}
+    out = quality.judge_quality(df, labels, keep=df.columns)
+    assert len(set(out.columns)) == len(out.columns)
+    assert {r.doc_id: (r.n_words_input, r.kept_input, r.shard, r.slot) for r in out.collect()} == want
+    out = sharding.assign_shards(df, "slot", ["a", "b"])
+    assert {r.doc_id: (r.n_words, r.kept, r.shard_input, r.slot_input) for r in out.collect()} == want
+    assert nearcopies.drop_near_copies(df.drop("kept")).count() == 3
+    assert idcodec.write_and_read(df).count() == packing.pack(df).select("doc_id").distinct().count() == 6
+    assert langid.predict(df, {}).count() == simhash.near_duplicates(df).count() == bwtdedup.dedup_digest(df).count() == 6
+
+
+def test_one_letter_texts_have_a_language(spark):
+    docs = spark.createDataFrame([(0, "b b b", "x"), (1, "a", "y"), (2, "1 a 2", None), (3, "a", None)], "doc_id long, text string, lang string").coalesce(1)
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, langid.learn(docs)).collect()}
+    assert got == {0: "x", 1: "y", 2: "y", 3: "y"}
+
+
+def test_language_against_plain_counts(spark):
+    """Profiles and cosines from a plain loop over trigrams."""
+    rows = [(i, prose(30, i) if i % 2 else "größe und straße der " * 3 + str(i), "aa" if i % 2 else "de") for i in range(12)]
+    base, classes = langid.letter_vectors().astype(int), langid.letter_classes()
+
+    def vector(t):
+        out, flat = np.zeros(langid.DIM), [0]
+        for ch in t:
+            c = int(classes[ord(ch)])
+            if c or flat[-1]:
+                flat.append(c)
+        flat += [0] if flat[-1] else []
+        for a, b, c in zip(flat, flat[1:], flat[2:], strict=False):
+            if b:
+                out += np.roll(base[a], 2) * np.roll(base[b], 1) * base[c]
+        return out
+
+    profiles = {k: sum(vector(t) for _, t, x in rows if x == k) for k in ("aa", "de")}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = langid.learn(docs)
+    assert all((got[k] == profiles[k]).all() for k in profiles)
+    for r in langid.predict(docs, got).collect():
+        v = vector(rows[r.doc_id][1])
+        cos = {k: float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) for k, p in profiles.items()}
+        assert r.lang_pred == max(cos, key=cos.get) and abs(r.score - max(0.0, cos[r.lang_pred])) < 1e-6
+
+
+def test_shards_against_plain_turns(spark):
+    """The lookup table from a plain reading of the method, and every row's place in it."""
+    names, size = ["a", "b", "c"], 101
+    order = {}
+    for s in names:
+        d = hashlib.sha256(s.encode()).digest()
+        offset, skip = int.from_bytes(d[:8], "little") % size, int.from_bytes(d[8:16], "little") % (size - 1) + 1
+        order[s] = [(offset + k * skip) % size for k in range(size)]
+    table = {}
+    while len(table) < size:
+        for s in names:
+            if free := [x for x in order[s] if x not in table][:1]:
+                table[free[0]] = s
+    assert [names[i] for i in sharding.lookup_table(names, size)] == [table[i] for i in range(size)]
+    df = spark.createDataFrame([(i % 7 or None, i) for i in range(50)], "doc_id long, x long")
+    got = sharding.assign_shards(df, "doc_id", names, size).collect()
+    assert len(got) == 50 and all(r.shard == table[r.slot] == names[r.shard_id] for r in got)
+    assert sharding.assign_shards(df.limit(0), "doc_id", names, size).count() == 0
+
+
+def test_long_texts(spark):
+    """A text of 200 000 words goes through every operator of rows."""
+    rows = [(1, " ".join(f"w{x}" for x in np.random.default_rng(1).integers(0, 90_000, 200_000)), "en"), (2, "short", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    pages = spark.createDataFrame([(1, "http://" + "a." * 5000 + "net/" + "x/" * 50_000)], "page_id long, url string")
+    assert [r.rule for r in urls.judge_urls(pages, urls.rules_frame(spark, [("net/", "block")]), ["page_id"]).collect()] == ["net/"]
+    assert langid.predict(docs, langid.learn(docs)).count() == 2
+    items = spark.createDataFrame([(5, " ".join(rows[0][1].split()[150_000:150_040]))], "item_id long, text string")
+    assert [(r.doc_id, r.window_start) for r in decontam.find_leaks(docs, items).collect()] == [(1, 150_000)]
+
+
 def test_sql_of_registered_queries(spark):
     from spanforge.llm import queries as q
 
