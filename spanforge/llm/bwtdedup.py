@@ -1,7 +1,8 @@
 """Exact substring dedup over bytes, by column-wise multi-document construction of a collection's BWT.
 
-Windows of WINDOW bytes that share a minimiser travel as one string to its bucket; a first exchange of minimiser hashes
-drops strings whose minimiser occurs once in the corpus, which can't hold a repeated window. Equal strings of a chunk
+Windows of WINDOW bytes that share a minimiser travel as one string to its bucket. A window holds at least half of its
+other bytes on one side of the minimiser, so a first exchange of the hashes of the minimiser with that many bytes before
+it, and after it, drops strings both of whose sides occur once in the corpus: they can't hold a repeated window. Equal strings of a chunk
 travel once, with a count. A bucket cuts its strings into words of WORD bytes, aligned at the minimiser so that equal
 windows are cut alike, and builds the Burrows-Wheeler transform of the collection column by column: each round inserts
 one word of every string that has any left, at its LF position, and updates the common-prefix array. Columns and the
@@ -31,14 +32,20 @@ BLOCK = 64
 COLLECTION_BYTES = 2 << 20
 
 
-def document_runs(data: np.ndarray, window: int, minimiser: int) -> list[tuple[int, int, int, int]]:
-    """(first window, windows, minimiser hash, minimiser offset from the first window)."""
+def document_runs(data: np.ndarray, window: int, minimiser: int) -> list[tuple[int, int, int, int, int, int]]:
+    """(first window, windows, minimiser hash, minimiser offset from the first window, hash of the minimiser and the
+    bytes before it, and after it; 0 where the string has too few)."""
     if len(data) < window:
         return []
     h, down = C.prefix_hash(data), C.powers(len(data))[1]
     least = C.mix((h[minimiser:] - h[:-minimiser]) * down[: len(h) - minimiser])
     first, last, at = C.minimiser_runs(least, window - minimiser + 1)
-    return list(zip(first.tolist(), (last - first).tolist(), least[at].tolist(), (at - first).tolist(), strict=True))
+    before = (window - minimiser) // 2
+    after = window - minimiser - before + 1
+    a, b = np.maximum(at - before, 0), np.minimum(at + minimiser + after, len(data))
+    left = np.where(at - first >= before, C.mix((h[at + minimiser] - h[a]) * down[a]), np.uint64(0))
+    right = np.where(last + window - 1 - at - minimiser >= after, C.mix((h[b] - h[at]) * down[at] + np.uint64(1)), np.uint64(0))
+    return list(zip(first.tolist(), (last - first).tolist(), least[at].tolist(), (at - first).tolist(), left.tolist(), right.tolist(), strict=True))
 
 
 class Collection:
@@ -220,16 +227,17 @@ def repeated_windows(strings: list[bytes], offsets: np.ndarray, counts: np.ndarr
 
 
 def chunk_strings(rows: list, window: int, minimiser: int, n_buckets: int) -> tuple[list, dict]:
-    """Each row's (id, bytes, runs), and per bucket its distinct strings: [number, windows before, hash, offset, count]."""
+    """Each row's (id, bytes, runs), and per bucket its distinct strings: [number, windows before, hash, offset, count,
+    hashes of both sides]."""
     docs, found = [], {}
     for doc, text, _ in rows:
         text, runs = text or b"", []
-        for first, n, least, offset in document_runs(np.frombuffer(text, np.uint8), window, minimiser):
+        for first, n, least, offset, left, right in document_runs(np.frombuffer(text, np.uint8), window, minimiser):
             own = found.setdefault(bucket := least % n_buckets, [{}, 0])
             string = text[first : first + n + window - 1]
             seen = own[0].get(string)
             if seen is None:
-                seen = own[0][string] = [len(own[0]), own[1], least, offset, 0]
+                seen = own[0][string] = [len(own[0]), own[1], least, offset, 0, left, right]
                 own[1] += n
             seen[4] += 1
             runs.append((first, n, bucket, seen))
@@ -247,8 +255,10 @@ def repeated_bytes(docs: DataFrame, schema: str, emit, window: int = WINDOW, min
     def count(chunk: int, rows: list, _: dict) -> Iterator[pa.RecordBatch]:
         times: dict[int, list] = {}
         for _, text_, _ in rows:
-            for _, _, least, _ in document_runs(np.frombuffer(text_ or b"", np.uint8), window, minimiser):
-                times.setdefault(least % n_buckets, []).append(least)
+            for *_, left, right in document_runs(np.frombuffer(text_ or b"", np.uint8), window, minimiser):
+                for side in (left, right):
+                    if side:
+                        times.setdefault(side % n_buckets, []).append(side)
         for bucket, found in times.items():
             hashes, many = np.unique(np.array(found, np.uint64), return_counts=True)
             yield C.batch(HASHES, [bucket], [chunk], [hashes.tobytes()], [np.packbits(many > 1).tobytes()])
@@ -263,13 +273,9 @@ def repeated_bytes(docs: DataFrame, schema: str, emit, window: int = WINDOW, min
                 yield C.batch(C.NOTE, [r["chunk"]], [bucket], ["often"], [np.frombuffer(r["hashes"], np.uint64)[flags].tobytes()])
 
     def chosen(found: dict, told: dict) -> dict[int, list]:
-        """Per bucket the strings whose minimiser occurs more than once, in order."""
-        out = {}
-        for bucket, (strings, _) in found.items():
-            if ("often", bucket) in told:
-                often = set(np.frombuffer(told["often", bucket], np.uint64).tolist())
-                out[bucket] = [(s, seen) for s, seen in strings.items() if seen[2] in often]
-        return out
+        """Per bucket the strings one of whose sides occurs more than once, in order."""
+        often = {h for (kind, _), payload in told.items() if kind == "often" for h in np.frombuffer(payload, np.uint64).tolist()}
+        return {bucket: own for bucket, (strings, _) in found.items() if (own := [(s, seen) for s, seen in strings.items() if seen[5] in often or seen[6] in often])}
 
     def send(chunk: int, rows: list, told: dict) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)

@@ -163,18 +163,13 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
 
 
 def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
-    """Position of the leftmost smallest value in each run of ``width``."""
-    n = len(values) - width + 1
-    low, reach = values, 1
-    where = np.arange(len(values))
+    """Position of the leftmost of the smallest values, by their upper halves, in each run of ``width``."""
+    low, reach = (values & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(values), dtype=np.uint64), 1
     while reach < width:
         step = min(reach, width - reach)
-        a, b = low[:-step], low[step:]
-        later = b < a
-        where = np.where(later, where[step:], where[:-step])
-        low = np.where(later, b, a)
+        low = np.minimum(low[: len(low) - step], low[step:])
         reach += step
-    return where[:n]
+    return (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def minimiser_runs(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
