@@ -161,3 +161,9 @@ def augment_tiles(tiles: DataFrame, seed: int, width: int = 8, **kw) -> DataFram
             yield pd.DataFrame({"tile_id": frame["tile_id"], "px": px})
 
     return tiles.select("tile_id", "px").mapInPandas(run, "tile_id long, px array<int>")
+
+
+def join_semantic(ortho: DataFrame, semantic: DataFrame) -> DataFrame:
+    """Tiles ``(tile_id, read_x, read_y, px, mask)`` of two rasters read through the same windows; a tile that only one
+    of them has, or whose arrays differ in size, is left out."""
+    return ortho.join(semantic.select("tile_id", "read_x", "read_y", "mask"), ["tile_id", "read_x", "read_y"]).where("size(px) = size(mask)")

@@ -114,3 +114,17 @@ def overlap_windows(one: dict, two: dict) -> tuple[tuple, tuple, tuple]:
         raise ValueError("the rasters do not overlap")
     window = lambda r: intersection_window(left, top, right, bottom, r["affine"])
     return window(one), window(two), (a1, 0.0, left, 0.0, e1, top)
+
+
+def choose_aoi(full: tuple, override: tuple | None = None, picked: tuple | None = None) -> tuple:
+    """The box to work on: an override goes before a picked box, that before the whole; clipped to the whole."""
+    box = override or picked or full
+    box = max(box[0], full[0]), max(box[1], full[1]), min(box[2], full[2]), min(box[3], full[3])
+    if box[0] >= box[2] or box[1] >= box[3]:
+        raise ValueError("the area of interest does not meet the raster")
+    return box
+
+
+def clip_to_aoi(objects: DataFrame, box: tuple) -> DataFrame:
+    """Objects that share some area with the box; the comparisons are pushed down to the scan."""
+    return objects.where((F.col("x0") < box[2]) & (F.col("x1") > box[0]) & (F.col("y0") < box[3]) & (F.col("y1") > box[1]))

@@ -76,8 +76,8 @@ def merge_duplicates(objects: DataFrame, iou: float = 0.7, containment: float =
     The anchor is a component's largest member; its attributes stay, the geometry is the union of all members, and
     area and box are recomputed from it.
     """
-    spans = box_to_spans(objects) if spans is None else spans
     members = cut(duplicate_components(objects, iou=iou, containment=containment, spans=spans))
+    spans = box_to_spans(objects) if spans is None else spans
     order = F.struct((-F.col("area")).alias("a"), "tile_id", "id")
     anchors = members.groupBy("component").agg(F.min_by("id", order).alias("anchor"), F.count("*").alias("n_members"))
     owned = members.join(anchors, "component")
@@ -96,8 +96,11 @@ def ownership(objects: DataFrame, spans: DataFrame | None = None, cell: int = RU
     Spans are cut at column cells and grouped by (row, cell), whose size is bounded by how many objects cover a few
     pixels. Within a group the elementary runs between span ends get the best covering object: no join.
     """
-    spans = box_to_spans(objects) if spans is None else spans
-    ranked = spans.join(objects.select("id", (-F.col("area")).alias("_a"), F.col("tile_id").alias("_t")), "id")
+    order = objects.select("id", (-F.col("area")).alias("_a"), F.col("tile_id").alias("_t"))
+    if spans is None:
+        ranked = S.explode_spans(objects.select("id", (-F.col("area")).alias("_a"), F.col("tile_id").alias("_t"), S.box_spans().alias("spans")))
+    else:
+        ranked = spans.join(order, "id")
     low, high = F.floor(F.col("c0") / cell).cast("long"), F.floor((F.col("c1") - 1) / cell).cast("long")
     cells = ranked.select("*", F.explode(F.sequence(low, high)).alias("_cell"))
     clipped = F.struct("_a", "_t", "id", F.greatest("c0", F.col("_cell") * cell).alias("s"), F.least("c1", (F.col("_cell") + 1) * cell).alias("e"))
@@ -115,20 +118,25 @@ def _remnants(objects: DataFrame, runs: DataFrame) -> DataFrame:
     return objects.join(left, "id", "left").withColumn("remnant", F.coalesce("remnant", F.lit(0).cast("long")))
 
 
-def resolve_mosaic(objects: DataFrame, dust: int = 0, spans: DataFrame | None = None, max_rounds: int = 1000) -> tuple[DataFrame, DataFrame, DataFrame]:
+def resolve_mosaic(objects: DataFrame, dust: int = 0, spans: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kept objects with ``remnant``, their disjoint spans, culled rows). An object stays iff its remnant exceeds ``dust``.
 
     The sequential rule (largest first, subtract what is kept) as a fix-point: of objects whose remnant is too small,
     those without a doomed earlier neighbour are dropped for good, since all that they yield to is settled; ownership
-    is then taken anew. With no dust nothing changes hands after the first round.
+    is then taken anew, until none is doomed; every round drops one at least. With no dust nothing changes hands after the
+    first round, so nothing but its spans is cut.
     """
-    spans = cut(box_to_spans(objects) if spans is None else spans)
-    live = cut(objects)
-    for _ in range(max_rounds):
-        runs = cut(ownership(live, spans.join(live.select("id"), "id", "left_semi")))
-        state = cut(_remnants(live, runs))
+    if dust:
+        spans, objects = cut(box_to_spans(objects) if spans is None else spans), cut(objects)
+    live = objects
+    while True:
+        runs = cut(ownership(live, spans.join(live.select("id"), "id", "left_semi") if dust else spans))
+        state = _remnants(live, runs)
+        if not dust:
+            break
+        state = cut(state)
         doomed = state.where(F.col("remnant") <= dust)
-        if dust == 0 or not doomed.limit(1).count():
+        if not doomed.limit(1).count():
             break
         pairs = overlap_join(doomed.select("id", "area", "tile_id", "x0", "y0", "x1", "y1"), doomed.select("id", "area", "tile_id", "x0", "y0", "x1", "y1"))
         later = F.struct((-F.col("a_area")).alias("a"), F.col("a_tile_id").alias("t"), F.col("a_id").alias("i")) > F.struct((-F.col("b_area")).alias("a"), F.col("b_tile_id").alias("t"), F.col("b_id").alias("i"))
@@ -143,6 +151,21 @@ def resolve_mosaic(objects: DataFrame, dust: int = 0, spans: DataFrame | None =
     return kept, kept_runs, gone.unionByName(clipped)
 
 
+def run_summary(crowns: DataFrame, image: tuple[int, int], pixel: float) -> DataFrame:
+    """``n_crowns, pct_cover, density_km2, mean_area_m2`` of a run over ``image`` pixels of ``pixel`` metres."""
+    km2 = image[0] * pixel / 1000 * (image[1] * pixel / 1000)
+    return crowns.agg(
+        F.count(F.lit(1)).alias("n_crowns"), (F.sum("area") * 100.0 / (image[0] * image[1])).alias("pct_cover"),
+        F.floor(F.count(F.lit(1)) / F.lit(km2)).cast("long").alias("density_km2"), (F.avg("area") * pixel * pixel).alias("mean_area_m2"),
+    )
+
+
+def culled_in_core(culled: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Culled rows ``(…, chunk_id, x0, y0, x1, y1)`` whose box centre lies in their chunk's half-open core."""
+    centred = culled.withColumn("_cx", (F.col("x0") + F.col("x1")) / 2).withColumn("_cy", (F.col("y0") + F.col("y1")) / 2)
+    return core_owned(centred, chunks, "_cx", "_cy").drop("_cx", "_cy")
+
+
 def culled_winners(culled: DataFrame, survivors: DataFrame) -> DataFrame:
     """Each culled row with the survivor of the largest common area (smaller id on ties), -1 where none meets it."""
     pairs = overlap_join(culled.select("id", "x0", "y0", "x1", "y1"), survivors.select("id", "x0", "y0", "x1", "y1")).withColumn("inter", box_intersection())

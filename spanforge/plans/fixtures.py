@@ -25,7 +25,7 @@ FX = {
             and d.y0>=ty0+case when edge_n then 0 else 6 end and d.y1<=ty1-case when edge_s then 0 else 6 end) s
         group by tree_id, x0, y0, x1, y1) u""",
     "fx_crowns": """select o_orderkey as tree_id, (o_orderkey*7919+o_custkey*104729)%1230 as x0, (o_orderkey*6287+o_custkey*15485863)%1230 as y0,
-        (o_orderkey*7919+o_custkey*104729)%1230+8+o_orderkey%13 as x1, (o_orderkey*6287+o_custkey*15485863)%1230+8+o_custkey%13 as y1 from orders where o_orderkey%10=0""",
+        (o_orderkey*7919+o_custkey*104729)%1230+8+o_orderkey%13 as x1, (o_orderkey*6287+o_custkey*15485863)%1230+8+o_custkey%13 as y1 from orders""",
     "fx_points": """select l_orderkey, l_linenumber, (l_orderkey*7919+l_partkey*31)%1250 as x, (l_suppkey*6287+l_linenumber*977+l_orderkey*13)%1250 as y,
         l_quantity as z, case when l_linenumber%3=0 then 2 else 1 end as cls from lineitem""",
     "fx_qc": """select c_custkey as id, (c_custkey*7919)%6230 as x0, (c_custkey*104729)%6230 as y0, (c_custkey*7919)%6230+8+c_custkey%43 as x1,

@@ -15,7 +15,9 @@ from spanforge.operators import spans as S
 from spanforge.operators import training_tiles as TT
 from spanforge.operators.spatial_join import overlap_join
 from spanforge.plans.fixtures import view, with_views
-from spanforge.session import table
+from spanforge.session import shared_folder, table
+from spanforge.sources.store import metric_fields, pending_chunks, read_manifest, read_shards, training_pairs, write_chunks, write_manifest, write_shards
+from spanforge.sources.store import shard_index as store_index
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -80,12 +82,15 @@ SQL["train_tile_origins"] = SQL["train_tile_origins"].replace("(x.v+256)*0.2+7",
 
 @query("select tile_id, tree_id, x0, y0, x1, y1 from fx_det where x0 <= 2500 and x1 >= 2000 and y0 <= 2500 and y1 >= 2000")
 def bbox_filter(spark, sf_dir):
-    return view(spark, sf_dir, "fx_det").where("x0 <= 2500 and x1 >= 2000 and y0 <= 2500 and y1 >= 2000").select("tile_id", "tree_id", *BOX)
+    write_shards(view(spark, sf_dir, "fx_det"), folder := shared_folder(spark, "shards"))
+    return read_shards(spark, folder, (2000, 2000, 2500, 2500)).select("tile_id", "tree_id", *BOX)
 
 
-@query("select tile_id, count(*) as n_features, min(x0) as minx, min(y0) as miny, max(x1) as maxx, max(y1) as maxy from fx_det group by tile_id")
+@query("select count(*) as n_features, min(x0) as minx, min(y0) as miny, max(x1) as maxx, max(y1) as maxy from fx_det")
 def shard_index(spark, sf_dir):
-    return view(spark, sf_dir, "fx_det").groupBy("tile_id").agg(F.count("*").alias("n_features"), F.min("x0").alias("minx"), F.min("y0").alias("miny"), F.max("x1").alias("maxx"), F.max("y1").alias("maxy"))
+    """The index of written shards; which rows share a shard is Spark's choice, so their totals are compared."""
+    write_shards(view(spark, sf_dir, "fx_det"), folder := shared_folder(spark, "shards"))
+    return store_index(spark, folder).agg(F.sum("n_features").alias("n_features"), F.min("minx").alias("minx"), F.min("miny").alias("miny"), F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy"))
 
 
 def _det(spark, sf_dir):
@@ -191,7 +196,10 @@ def crown_export(spark, sf_dir):
     return R.tag_image_edge(shape, 6247, 6249).select(F.col("id").alias("instance_id"), "area_px", r6(F.col("area_px") * 0.04).alias("area_m2"), r6("centroid_x").alias("centroid_x"), r6("centroid_y").alias("centroid_y"), "touches_image_edge")
 
 
-@query()
+@query(f"""with {MERGED}, own as (select y, x, first(a.anchor order by ar.area desc, a.tile_id, a.anchor) as id from px join anc a using (component) join ar using (component) group by y, x),
+  rem as (select id, count(*) as area_px, min(x) as x0, min(y) as y0, max(x)+1 as x1, max(y)+1 as y1, sum(2*x+1) as sx, sum(2*y+1) as sy from own group by id)
+  select rem.id, anc.tile_id, area_px, ar.area as merged_area, rem.x0, rem.y0, rem.x1, rem.y1, round(sx/(2.0*area_px), 6) as centroid_x, round(sy/(2.0*area_px), 6) as centroid_y
+  from rem join anc on anc.anchor = rem.id join ar using (component)""")
 def crowns_end_to_end(spark, sf_dir):
     crowns, _, _ = R.reconcile(_stitched_input(spark, sf_dir), view(spark, sf_dir, "fx_tiles"))
     return crowns.select("id", "tile_id", "area_px", "merged_area", *BOX, r6("centroid_x").alias("centroid_x"), r6("centroid_y").alias("centroid_y"))
@@ -267,9 +275,13 @@ def dtm_min(spark, sf_dir):
     return P.dtm_min(view(spark, sf_dir, "fx_points"), 25).select("r", "c", "g")
 
 
-@query()
+@query("""with d as (select floor(y/25)::bigint as r, floor(x/25)::bigint as c, min(z) as g from fx_points where cls=2 group by all),
+  holes as (select y.i as r, x.i as c from range(0, 50) y(i) cross join range(0, 50) x(i) where not exists (select 1 from d where d.r = y.i and d.c = x.i)),
+  f as (select h.r, h.c, sum(d.g/sqrt((d.r-h.r)*(d.r-h.r)+(d.c-h.c)*(d.c-h.c)))/sum(1/sqrt((d.r-h.r)*(d.r-h.r)+(d.c-h.c)*(d.c-h.c))) as g
+    from holes h join d on abs(d.r-h.r) <= 3 and abs(d.c-h.c) <= 3 group by h.r, h.c)
+  select r, c, round(g::double, 6) as g from d union all select r, c, round(g::double, 6) from f""")
 def dtm_filled(spark, sf_dir):
-    return P.fill_dtm(P.dtm_min(view(spark, sf_dir, "fx_points"), 25), 50, 50)
+    return P.fill_dtm(P.dtm_min(view(spark, sf_dir, "fx_points"), 25), 50, 50).select("r", "c", r6(F.col("g").cast("double")).alias("g"))
 
 
 @query(f"with {Z} select tree_id, z_norm from z")
@@ -419,35 +431,35 @@ def augment(spark, sf_dir):
     return B.augment_tiles(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("tile_id"), px.alias("px")), seed=7)
 
 
-LABELPX = "rws as (select tree_id as label, x0, x1, unnest(generate_series(y0, y1-1)) as y from fx_trees where x0 < 512 and y0 < 512), px as (select label, y, unnest(generate_series(x0, x1-1)) as x from rws)"
+LABELPX = "rws as (select tree_id as label, x0, x1, unnest(generate_series(y0, y1-1)) as y from fx_trees), px as (select label, y, unnest(generate_series(x0, x1-1)) as x from rws)"
 
 
-def _window_trees(spark, sf_dir):
-    return R.box_to_spans(_trees(spark, sf_dir).where("x0 < 512 and y0 < 512"))
+def _tree_spans(spark, sf_dir):
+    return R.box_to_spans(_trees(spark, sf_dir))
 
 
-@query(f"with {LABELPX} select label, y as row, min(x) as c0, max(x)+1 as c1 from px group by label, y")
+@query(f"with {PIXELS}, g as (select id, y, x, x - row_number() over (partition by id, y order by x) as k from own) select id+1 as label, y as row, min(x) as c0, max(x)+1 as c1 from g group by id, y, k")
 def labels_to_runs(spark, sf_dir):
-    px = _window_trees(spark, sf_dir).select(F.lit(0).alias("tile_id"), F.col("id").alias("label"), "row", F.explode(F.sequence("c0", F.col("c1") - 1)).alias("col"))
+    px = R.ownership(_trees(spark, sf_dir)).select(F.lit(0).alias("tile_id"), (F.col("id") + 1).alias("label"), "row", F.explode(F.sequence("c0", F.col("c1") - 1)).alias("col"))
     return S.labels_to_runs(px, ["tile_id"]).select("label", "row", "c0", "c1")
 
 
 @query(f"with {LABELPX}, d as (select distinct label%50 as id, y, x from px) select id, count(*) as area_px, min(x) as x0, min(y) as y0, max(x)+1 as x1, max(y)+1 as y1, round(sum(2*x+1)/(2.0*count(*)), 6) as centroid_x from d group by id")
 def dissolve_runs(spark, sf_dir):
-    runs = _window_trees(spark, sf_dir).withColumn("id", F.col("id") % 50)
+    runs = _tree_spans(spark, sf_dir).withColumn("id", F.col("id") % 50)
     return S.dissolve_runs(runs, ["id"]).select("id", "area_px", *BOX, r6("centroid_x").alias("centroid_x"))
 
 
 @query(f"with {LABELPX}, a as (select distinct y, x from px where label%2=0), b as (select distinct y, x from px where label%2=1) select y as row, count(*)::bigint as n from (select * from a except select * from b) group by y")
 def span_difference(spark, sf_dir):
-    s = _window_trees(spark, sf_dir).withColumn("k", F.lit(0))
+    s = _tree_spans(spark, sf_dir).withColumn("k", F.lit(0))
     d = S.subtract_spans(s.where("id % 2 = 0").select("k", "row", "c0", "c1"), s.where("id % 2 = 1").select("k", "row", "c0", "c1"), ["k"])
     return d.groupBy("row").agg(F.sum(F.col("c1") - F.col("c0")).alias("n"))
 
 
 @query(f"with {LABELPX}, a as (select distinct y, x from px where label%2=0), b as (select distinct y, x from px where label%2=1) select y as row, count(*)::bigint as n from (select * from a intersect select * from b) group by y")
 def span_intersection(spark, sf_dir):
-    s = _window_trees(spark, sf_dir).withColumn("k", F.lit(0))
+    s = _tree_spans(spark, sf_dir).withColumn("k", F.lit(0))
     a, b = (S.union_spans(s.where(f"id % 2 = {i}").select("k", "row", "c0", "c1"), ["k"]) for i in (0, 1))
     return S.intersect_spans(a, b, ["k"]).groupBy("row").agg(F.sum(F.col("c1") - F.col("c0")).alias("n"))
 
@@ -522,8 +534,7 @@ def loss_pad(spark, sf_dir):
 
 @query("select format('{},{:.6f},{},{:.1f}', epoch, train_loss, case when val_loss is null then '' else format('{:.6f}', val_loss) end, wall_s::double) as line from fx_epochs")
 def metrics_csv(spark, sf_dir):
-    val = F.when(F.col("val_loss").isNull(), "").otherwise(F.format_string("%.6f", F.col("val_loss")))
-    return _epochs(spark, sf_dir).select(F.format_string("%d,%.6f,%s,%.1f", "epoch", "train_loss", val, F.col("wall_s").cast("double")).alias("line"))
+    return _epochs(spark, sf_dir).select(F.concat_ws(",", *metric_fields()).alias("line"))
 
 
 # ---- summaries, formats, files ------------------------------------------------------------------------------------------------
@@ -531,7 +542,7 @@ def metrics_csv(spark, sf_dir):
 
 @query("""select count(*) as n_crowns, round(sum((x1-x0)*(y1-y0))*100.0/(6250*6250), 6) as pct_cover, floor(count(*)/((6250*0.2/1000)*(6250*0.2/1000)))::bigint as density_km2 from fx_trees""")
 def run_summary(spark, sf_dir):
-    return _trees(spark, sf_dir).agg(F.count("*").alias("n_crowns"), r6(F.sum("area") * 100.0 / (6250 * 6250)).alias("pct_cover"), F.floor(F.count("*") / F.lit((6250 * 0.2 / 1000) * (6250 * 0.2 / 1000))).cast("long").alias("density_km2"))
+    return R.run_summary(_trees(spark, sf_dir), (6250, 6250), 0.2).select("n_crowns", r6("pct_cover").alias("pct_cover"), "density_km2")
 
 
 @query("""with s as (select o_orderkey as k, o_orderkey*37 as n from orders) select k, replace(format('{:,}', n), ',', ' ') as thousands, case when n >= 3600 then format('{}h{:02d}m', n//3600, n%3600//60) when n >= 60 then format('{}m{:02d}s', n//60, n%60) else format('{}s', n) end as duration from s""")
@@ -543,13 +554,15 @@ def format_helpers(spark, sf_dir):
 @query("""select '{"name":"' || r_name || '","n_nations":' || count(*)::varchar || '}' as manifest from region join nation on n_regionkey = r_regionkey group by r_name""")
 def manifest_json(spark, sf_dir):
     d = table(spark, sf_dir, "region").join(table(spark, sf_dir, "nation"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.count("*").alias("n"))
-    return d.select(F.to_json(F.struct(F.col("r_name").alias("name"), F.col("n").alias("n_nations"))).alias("manifest"))
+    write_manifest(d.select(F.col("r_name").alias("name"), F.col("n").alias("n_nations")), folder := shared_folder(spark, "manifest"))
+    return read_manifest(spark, folder).select(F.to_json(F.struct("name", "n_nations")).alias("manifest"))
 
 
 @query(f"with {CHUNKS} select chunk_id from ch where chunk_id not in (select distinct floor(x0/1300)::int+5*floor(y0/1300)::int from fx_trees where tree_id%7=0 and x0 < 2600)")
 def resume_pending_chunks(spark, sf_dir):
-    done = view(spark, sf_dir, "fx_trees").where("tree_id % 7 = 0 and x0 < 2600").select(F.expr("x0 div 1300 + 5 * (y0 div 1300)").alias("chunk_id")).distinct()
-    return G.chunk_grid(spark, 0, 0, 6250, 6250, 1300, 41).select("chunk_id").join(done, "chunk_id", "left_anti")
+    done = view(spark, sf_dir, "fx_trees").where("tree_id % 7 = 0 and x0 < 2600").select("tree_id", F.expr("x0 div 1300 + 5 * (y0 div 1300)").alias("chunk_id"))
+    write_chunks(done, folder := shared_folder(spark, "chunks"))
+    return pending_chunks(spark, G.chunk_grid(spark, 0, 0, 6250, 6250, 1300, 41).select("chunk_id"), folder)
 
 
 @query("""with a as (select p_partkey as k from part where p_partkey%2=0), b as (select p_partkey as k from part where p_partkey%3=0) select 'tile_' || a.k as stem from a join b on a.k = b.k""")
@@ -560,6 +573,34 @@ def stem_pairing(spark, sf_dir):
     return a.join(p.where("p_partkey % 3 = 0").select(T.stem(name("/in/tif/tile_", ".tif")).alias("stem")), "stem")
 
 
+@query("""select 'tile_' || p_partkey || '_img.tif' as image, 'tile_' || p_partkey || '_masks.tif' as mask from part where p_partkey%2=0 and p_partkey%3=0""")
+def training_pair_scan(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    images, masks = (p.where(f"p_partkey % {k} = 0").select(F.concat(F.lit("tile_"), F.col("p_partkey").cast("string"), F.lit(ext)).alias("name")) for k, ext in ((2, "_img.tif"), (3, "_masks.tif")))
+    return training_pairs(images.unionByName(masks)).select("image", "mask")
+
+
+@query("""select 'tile_' || p_partkey || '_img.tif' as image from part where p_partkey%2=0 order by image limit 5""")
+def preview_limit(spark, sf_dir):
+    names = table(spark, sf_dir, "part").where("p_partkey % 2 = 0").select(F.concat(F.lit("tile_"), F.col("p_partkey").cast("string"), F.lit("_img.tif")).alias("image"))
+    return names.orderBy("image").limit(5)
+
+
+@query("""with w as (select greatest(1000, 0) as l, greatest(500, 0) as t, least(4000, 6250) as r, least(3000, 6250) as b) select tree_id, x0, y0, x1, y1 from fx_trees, w where x0 < r and x1 > l and y0 < b and y1 > t""")
+def aoi_choice(spark, sf_dir):
+    box = G.choose_aoi((0, 0, 6250, 6250), override=(1000, 500, 4000, 3000), picked=(0, 0, 10, 10))
+    return G.clip_to_aoi(view(spark, sf_dir, "fx_trees"), box).select("tree_id", *BOX)
+
+
+@query("""select vec_id as tile_id, pos, (case when pos%16 < 8 then 2 else 0 end) as cls, v from e""".replace("from e", "from (select vec_id, unnest(range(0, len(embedding))) as pos, unnest(embedding) as v from embeddings) e").replace(", v from", ", round(v::double, 6) as v from"))
+def ortho_semantic_join(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    ortho = e.select(F.col("vec_id").alias("tile_id"), F.lit(0).alias("read_x"), F.lit(0).alias("read_y"), F.col("embedding").alias("px"))
+    semantic = e.select(F.col("vec_id").alias("tile_id"), F.lit(0).alias("read_x"), F.lit(0).alias("read_y"), F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda i: F.when(i % 16 < 8, 2).otherwise(0)).alias("mask"))
+    both = B.join_semantic(ortho, semantic)
+    return both.select("tile_id", F.posexplode(F.arrays_zip("px", "mask")).alias("pos", "z")).select("tile_id", F.col("pos").cast("long").alias("pos"), F.col("z.mask").alias("cls"), r6(F.col("z.px").cast("double")).alias("v"))
+
+
 @query("select tree_id as a_id, id as b_id from fx_crowns a join fx_qc b on a.x0 < b.x1 and b.x0 < a.x1 and a.y0 < b.y1 and b.y0 < a.y1")
 def spatial_join(spark, sf_dir):
     a = view(spark, sf_dir, "fx_crowns").withColumnRenamed("tree_id", "id")

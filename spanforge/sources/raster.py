@@ -1,7 +1,7 @@
 """Rasters: a Python data source for uncompressed and deflate GeoTIFF, one partition per tile of a window grid.
 
 ``spark.read.format("tiles").option("window", 1024).option("stride", 768).load(path)`` gives a row per tile and band:
-``tile_id, band, read_x, read_y, width, height, px array<int>, transform array<double>``. Strips are read as needed.
+``tile_id, band, read_x, read_y, width, height, px array<double>, transform array<double>``. Strips are read as needed.
 """
 
 from __future__ import annotations
@@ -112,7 +112,7 @@ class TileReader(DataSourceReader):
         image = t.window(p.x, p.y, p.w, p.h)
         a, _, c, _, e, f = t.affine
         for band in self.bands or range(1, t.bands + 1):
-            yield p.tile_id, band, p.x, p.y, p.w, p.h, image[:, :, band - 1].astype(int).ravel().tolist(), [a, 0.0, c + a * p.x, 0.0, e, f + e * p.y]
+            yield p.tile_id, band, p.x, p.y, p.w, p.h, image[:, :, band - 1].astype(float).ravel().tolist(), [a, 0.0, c + a * p.x, 0.0, e, f + e * p.y]
 
 
 class TileSource(DataSource):
@@ -121,7 +121,7 @@ class TileSource(DataSource):
         return "tiles"
 
     def schema(self) -> str:
-        return "tile_id long, band int, read_x int, read_y int, width int, height int, px array<int>, transform array<double>"
+        return "tile_id long, band int, read_x int, read_y int, width int, height int, px array<double>, transform array<double>"
 
     def reader(self, schema) -> TileReader:
         return TileReader(dict(self.options))

@@ -50,6 +50,24 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
 
 
+def write_manifest(sources: DataFrame, path: str) -> None:
+    """One JSON array with an object for each source; sources are few, being whole rasters."""
+    row = F.struct(*[F.col(c) for c in sources.columns])
+    sources.agg(F.to_json(F.sort_array(F.collect_list(row))).alias("value")).write.mode("overwrite").text(path)
+
+
+def training_pairs(files: DataFrame, image: str = "_img.tif", mask: str = "_masks.tif") -> DataFrame:
+    """``(stem, image, mask)`` of the files ``name`` that have both; images without a mask are left out."""
+    of = lambda ext, name: files.where(F.col("name").endswith(ext)).select(F.expr(f"substr(name, 1, length(name) - {len(ext)})").alias("stem"), F.col("name").alias(name))
+    return of(image, "image").join(of(mask, "mask"), "stem")
+
+
+def metric_fields() -> list:
+    """The text of ``epoch, train_loss, val_loss, wall_s``: six decimals, empty for null, one decimal for wall time."""
+    number = lambda c: F.when(F.col(c).isNull(), "").otherwise(F.format_string("%.6f", F.col(c)))
+    return [F.col("epoch").cast("string").alias("epoch"), number("train_loss").alias("train_loss"), number("val_loss").alias("val_loss"), F.format_string("%.1f", F.col("wall_s").cast("double")).alias("wall_s")]
+
+
 def append_metrics(series: DataFrame, path: str) -> None:
-    """CSV lines ``epoch, train_loss, val_loss?, wall``: six decimals, blank for null, one decimal for wall time."""
-    series.select("epoch", *[F.format_string("%.6f", c).alias(c) if c == "train_loss" else F.when(F.col(c).isNotNull(), F.format_string("%.6f", F.col(c))).alias(c) for c in ("train_loss", "val_loss")], F.format_string("%.1f", F.col("wall_s").cast("double")).alias("wall_s")).write.mode("append").option("nullValue", "").csv(path, header=True)
+    """CSV lines of ``metric_fields``."""
+    series.select(*metric_fields()).write.mode("append").option("emptyValue", "").csv(path, header=True)
