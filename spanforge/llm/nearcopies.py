@@ -16,14 +16,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanforge.llm.chunks import small_batches
-from spanforge.llm.simhash import CHUNK_ROWS, SEED, fingerprint_links, hash_fingerprint, shingle_hashes
+from spanforge.llm.chunks import release, small_batches
+from spanforge.llm.simhash import SEED, fingerprint_links, hash_fingerprint, shingle_hashes
 from spanforge.operators.components import connected_components
 from spanforge.session import cut
 
 #: Sets of similarity 0.8 share a band with probability 1 - (1 - 0.8**4)**20, 99.997 %.
 BANDS, BAND_ROWS = 20, 4
 SET_CHUNK = 1 << 15
+CELL_ITEMS = 2 << 20  # shingles of a band that a worker holds
 _SALTS = np.array([[xxhash.xxh64_intdigest(f"band {i} {k}", SEED) for i in range(BANDS * BAND_ROWS)] for k in "xm"], np.uint64)
 _SALTS[1] |= np.uint64(1)
 
@@ -79,48 +80,90 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     return small_batches(texts).select("t").mapInArrow(run, "node long, items array<long>")
 
 
-def band_pairs(members: DataFrame, num: int, den: int, steps: int | None = None) -> DataFrame:
-    """Distinct pairs ``(a, b)`` of nodes that share a band, are of different ``class`` and whose sizes allow a
-    similarity of ``num / den``; ``steps``: only those that follow each other by at most as many places in order of
-    size, which links what is alike without listing all pairs.
+def band_pairs(members: DataFrame, num: int, den: int, steps: int = 2) -> DataFrame:
+    """Distinct pairs ``(a, b)`` of nodes that share a band, whose sizes allow a similarity of ``num / den``, and that
+    follow each other by at most ``steps`` places in order of size: most of what is alike, and at most ``steps`` rows for
+    each of a node's bands.
 
-    ``members``: ``(band, size, node, class)``. A band of one class lists nothing.
+    ``members``: ``(band, size, node)``.
     """
 
     def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        band = rows[0]
-        first = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1])))
-        mixed = np.minimum.reduceat(rows[3], first) != np.maximum.reduceat(rows[3], first)
-        rows = rows[:, np.repeat(mixed, np.diff(np.append(first, len(band))))]
-        band, size, node, group = rows
-        alive, step = np.arange(len(band)), 0
-        while len(alive) and (steps is None or step < steps):
-            step += 1
-            alive = alive[: np.searchsorted(alive, len(band) - step)]
-            alive = alive[(band[alive] == band[alive + step]) & (num * size[alive + step] <= den * size[alive])]
-            apart = alive[group[alive] != group[alive + step]]
-            if len(apart):
-                a, b = node[apart], node[apart + step]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        band, size, node = rows
+        for step in range(1, steps + 1):
+            near = np.flatnonzero((band[:-step] == band[step:]) & (num * size[step:] <= den * size[:-step]) & (node[:-step] != node[step:]))
+            a, b = node[near], node[near + step]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        tail = np.zeros((3, 0), np.int64)
         for b in batches:
-            held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns]))
-            if sum(x.shape[1] for x in held) < CHUNK_ROWS:
-                continue
-            rows = np.concatenate(held, axis=1)
-            whole = int(np.searchsorted(rows[0], rows[0][-1]))  # the last band may go on in the next batch
-            held = [rows[:, whole:]]
-            if whole:
-                yield from pairs(rows[:, :whole])
-        if sum(x.shape[1] for x in held):
-            yield from pairs(np.concatenate(held, axis=1))
-
-    dealt = members.select("band", "size", "node", "class").repartition("band").sortWithinPartitions("band", "size", "node")
+            rows = np.concatenate([tail, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns])], axis=1)
+            yield from pairs(rows)
+            tail = rows[:, -steps:]  # pairs within the tail come up again; they are made distinct below
+
+    dealt = members.select("band", "size", "node").repartition("band").sortWithinPartitions("band", "size", "node")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def band_links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links ``(a, b)`` that connect all nodes of different ``class`` that share a band and have a similarity of at least
+    ``num / den``. Sets travel to the bands of several classes, where every pair of classes is compared in place and only
+    a spanning forest comes back, so no pairs are listed. A band of more than CELL_ITEMS shingles is dealt out as pairs
+    of its parts.
+
+    ``members``: ``(band, size, node, class)``.
+    """
+    mixed = members.groupBy("band").agg(F.min("class").alias("_least"), F.max("class").alias("_most"), F.sum("size").alias("_items")).where("_least <> _most")
+    mixed = mixed.select("band", F.ceil(2 * F.col("_items") / CELL_ITEMS).cast("int").alias("parts"))
+    held = members.join(mixed, "band").join(sets, "node")
+    part = F.pmod(F.xxhash64("node", F.lit("part")), F.col("parts"))
+    ways = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.xxhash64("band", F.least(j, part), F.greatest(j, part)))
+    dealt = held.select("node", "class", "items", F.explode(F.when(F.col("parts") <= 2, F.array("band")).otherwise(ways)).alias("cell"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, int, np.ndarray]] = []
+        cell = None
+        for b in batches:
+            cells, nodes, groups = (b.column(i).to_pylist() for i in range(3))
+            ends = np.asarray(b.column(3).offsets)
+            flat = b.column(3).values.to_numpy(zero_copy_only=False)
+            for i, c in enumerate(cells):
+                if c != cell and held:
+                    yield link_sets(held, num, den)
+                    held = []
+                cell = c
+                held.append((nodes[i], groups[i], flat[ends[i] : ends[i + 1]].copy()))
+        if held:
+            yield link_sets(held, num, den)
+        release()
+
+    return dealt.select("cell", "node", "class", "items").repartition("cell").sortWithinPartitions("cell", "class", "node").mapInArrow(run, "a long, b long").distinct()
+
+
+def link_sets(rows: list[tuple[int, int, np.ndarray]], num: int, den: int) -> pa.RecordBatch:
+    """A forest of links between rows ``(node, class, set)`` of different classes that are alike enough."""
+    names, root = np.unique(np.array([g for _, g, _ in rows], np.int64), return_inverse=True)
+    sizes = np.array([len(x) for *_, x in rows], np.int64)
+    first = np.cumsum(sizes) - sizes
+    found: list[tuple[int, int]] = []
+    if len(names) > 1 and sizes.all():
+        used, local = np.unique(np.concatenate([x for *_, x in rows]), return_inverse=True)
+        mark = np.zeros(len(used), np.int32)
+        for i in np.flatnonzero(root != np.bincount(root).argmax()).tolist():  # rows of the largest class meet the others here
+            own = local[first[i] : first[i] + sizes[i]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[local], first)
+            mark[own] = 0
+            near = np.flatnonzero(((num + den) * both >= num * (sizes + sizes[i])) & (root != root[i]))
+            while len(near):
+                found.append((rows[i][0], rows[int(near[0])][0]))
+                root[root == root[near[0]]] = root[i]
+                near = near[root[near] != root[i]]
+    ends = np.array(found, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(ends.min(1) if len(ends) else ends[:, 0]), pa.array(ends.max(1) if len(ends) else ends[:, 0])], names=["a", "b"])
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sets have a Jaccard similarity of at least ``num / den``, exactly."""
     left, right = (sets.select(F.col("node").alias(c), F.col("items").alias(f"_{c}")) for c in "ab")
@@ -132,23 +175,25 @@ def classes(docs: DataFrame, rows: DataFrame, shingle: int, num: int, den: int,
     """``(node, class)`` of the nodes that verified links connect, by smallest node."""
     name = F.struct(F.col("id").isNull().alias("last"), "id", "th")
     nodes = cut(rows.groupBy("node").agg(F.min(name).alias("name"), F.min("fp").alias("fp"), F.first("size").alias("size"), F.first("bands").alias("bands")))
-    members = nodes.select("node", "size", F.explode("bands").alias("band"), F.col("node").alias("class"))
+    members = nodes.select("node", "size", F.explode("bands").alias("band"))
+    busy = members.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("band")
+    members = cut(members.join(busy, "band"))
     prints = nodes.groupBy("fp").agg(F.min("node").alias("a"))
     alike = nodes.join(prints, "fp").where("node <> a").select("a", F.col("node").alias("b"))
     near = fingerprint_links(prints.select(F.col("a").alias("node"), "fp"), radius)
     sizes = nodes.select("node", "size")
     close = alike.unionByName(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     close = close.join(sizes.toDF("a", "_na"), "a").join(sizes.toDF("b", "_nb"), "b").where(f"{num} * greatest(_na, _nb) <= {den} * least(_na, _nb)").select("a", "b")
-    pairs = cut(close.unionByName(band_pairs(members, num, den, steps=2)).distinct())
-    used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    pairs = cut(close.unionByName(band_pairs(members, num, den)).distinct())
+    used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(members.select("node")).distinct()
     wanted = nodes.join(used, "node").select(F.col("name.id").alias("_id"), F.col("name.th").alias("_th"))
     texts = _texts(docs, key, text)
     texts = texts.join(wanted, texts["id"].eqNullSafe(wanted["_id"]) & (texts["th"] == wanted["_th"]))
     sets = cut(_sets(texts, shingle).groupBy("node").agg(F.first("items").alias("items")))
     links = cut(verified(pairs, sets, num, den))
     found = connected_components(links)
-    linked = members.drop("class").join(found, "node", "left").select("band", "size", "node", F.coalesce("component", "node").alias("class"))
-    rest = cut(verified(band_pairs(linked, num, den), sets, num, den))
+    linked = members.join(found, "node", "left").select("band", "size", "node", F.coalesce("component", "node").alias("class"))
+    rest = cut(band_links(linked, sets, num, den))
     return connected_components(links.unionByName(rest)).withColumnRenamed("component", "class")
 
 
