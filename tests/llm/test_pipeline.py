@@ -50,3 +50,26 @@ def test_stages(spark, planted, tmp_path):
 
 def test_run_equals_stages(spark, planted):
     assert p.run(spark, planted).select("doc_id").distinct().count() == 42
+
+
+def test_awkward_tables(spark, planted, tmp_path):
+    """Further columns with operators' names, repeated rows, null ids and texts, and an empty table."""
+    import datetime
+
+    when = datetime.datetime(2024, 1, 2, 3, 4, 5, 123456)
+    rows = [(i, prose(i), "en", "s", 1, when, {1: "a"}, i) for i in range(200, 206)]
+    rows += [rows[0], (None, prose(300), "en", "s", 1, when, None, 9), (206, None, None, None, None, None, None, None), (207, "", "en", "s", 0, when, {}, 1)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", n_words timestamp, kept map<int,string>, item_id long")
+    for name, df in (("rows", docs), ("none", docs.limit(0))):
+        for i, (_, stage) in enumerate(p.STAGES):
+            out = str(tmp_path / f"{name}{i}")
+            columns = df.columns
+            stage(spark, df, planted).write.parquet(out)
+            df = spark.read.parquet(out)
+            if i < len(p.STAGES) - 1:
+                assert df.columns == columns
+                if name == "rows":
+                    got = df.collect()
+                    assert sorted((r.doc_id or 0) for r in got) == ([0, 200, 200, 201, 202, 203, 204, 205] if i == 0 else [0, 200, 201, 202, 203, 204, 205])
+                    assert {r.n_words for r in got} == {when} and {r.item_id for r in got} == {200, 201, 202, 203, 204, 205, 9}
+        assert name == "rows" or df.count() == 0
