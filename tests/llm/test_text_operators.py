@@ -85,6 +85,27 @@ def test_simhash_cells_lose_no_link(spark, monkeypatch):
     assert (want == got).all()
 
 
+@pytest.mark.parametrize("radius,spare", [(4, 3), (6, 2), (6, 3)])
+def test_simhash_links_alike_for_any_number_of_blocks(spark, radius, spare):
+    rng = np.random.default_rng(radius + spare)
+    base = rng.integers(0, 1 << 62, 40, dtype=np.uint64)
+    flips = np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 62, (400, radius + 1), dtype=np.uint64), axis=1)
+    fps = np.unique(base[rng.integers(0, 40, 400)] ^ flips)
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius
+    want = simhash.forest(len(fps), *np.nonzero(near))
+    nodes = spark.createDataFrame(list(enumerate(fps.view(np.int64).tolist())), "node long, fp long")
+    edges = simhash.fingerprint_links(nodes, radius, spare).collect()
+    assert all(near[e.a, e.b] or want[e.a] == want[e.b] for e in edges)
+    assert simhash.forest(len(fps), np.array([e.a for e in edges], int), np.array([e.b for e in edges], int)).tolist() == want.tolist()
+
+
+def test_simhash_blocks_follow_the_number_of_fingerprints():
+    for radius in (4, 6):
+        chosen = [simhash.spare_blocks(10**k, radius) for k in range(12)]
+        assert chosen == sorted(chosen) and chosen[0] == 2
+        assert 10**10 / 2 ** (64 * chosen[10] // (radius + chosen[10])) < 1000
+
+
 def test_drop_near_duplicates_keeps_one(docs):
     left = simhash.drop_near_duplicates(docs, 4, 4)
     ids = [r.doc_id for r in left.collect()]
