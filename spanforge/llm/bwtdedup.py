@@ -30,6 +30,7 @@ BLOB = "bucket int, chunk int, hashes binary, counts binary, shape binary, bytes
 HASHES = "bucket int, chunk int, hashes binary, many binary"
 BLOCK = 64
 COLLECTION_BYTES = 2 << 20
+BUCKET_CHUNKS = 4  # chunks for each bucket: where buckets are many, a chunk's strings for one get few and compress badly
 
 
 def document_runs(data: np.ndarray, window: int, minimiser: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -250,7 +251,7 @@ def repeated_bytes(docs: DataFrame, schema: str, emit, window: int = WINDOW, min
     if window % WORD or minimiser > window - 2 * WORD:
         raise ValueError("the window is a multiple of the word, and longer than the minimiser by two words")
     chunk_text, n_chunks = C.chunked(docs, key, text)
-    n_buckets = 2 * n_chunks
+    n_buckets = n_chunks // BUCKET_CHUNKS + 1
 
     def count(chunk: int, rows: list, _: dict) -> Iterator[pa.RecordBatch]:
         times: dict[int, list] = {}

@@ -2,7 +2,8 @@
 
 Consecutive windows of WINDOW words that share a minimiser (the leftmost least hash of MINIMISER words inside) travel
 as one packed string to the minimiser's bucket. Equal strings of a chunk travel once, with the chunk's smallest id, so
-copies are aggregated before the exchange. A bucket sorts its windows by a hash of exact word numbers, confirms equal
+copies are aggregated before the exchange. FAN buckets travel together, since a chunk's strings for one alone get few, and
+compress badly, where buckets are many. A bucket sorts its windows by a hash of exact word numbers, confirms equal
 neighbours word by word, and returns one bit per window: does a smaller id than the string's own hold it too?
 
 Null or wordless text has no words. Rows without an id rank after all others and never cause a removal; rows that
@@ -23,11 +24,27 @@ from pyspark.sql import functions as F
 from spanforge.llm import chunks as C
 
 WINDOW, MINIMISER = 13, 3
-BLOB = "bucket int, chunk int, ids binary, words binary"
+BLOB = "bucket int, chunk int, strings binary"
+FAN = 8  # buckets that travel together
+SMALL = 512  # bytes under which a blob isn't compressed alone, but left to the codec of the exchange
 
 
-def _buckets(n_chunks: int) -> int:
-    return 2 * n_chunks
+def packed(buckets: list[dict[bytes, tuple[int, int, int]]], pack: zstandard.ZstdCompressor) -> bytes:
+    """The strings of FAN buckets: their numbers and bytes by bucket, their ids, the strings joined by line feeds."""
+    joined = [b"\n".join(strings) for strings in buckets]
+    shape = np.array([list(map(len, buckets)), list(map(len, joined))], "<i8")
+    ids = np.fromiter((s[1] for strings in buckets for s in strings.values()), "<i8")
+    raw = b"".join([shape.tobytes(), ids.tobytes(), *joined])
+    return b"\0" + raw if len(raw) < SMALL else b"\1" + pack.compress(raw)
+
+
+def unpacked(data: bytes, undo: zstandard.ZstdDecompressor) -> list[tuple[np.ndarray, bytes]]:
+    """(ids, strings joined by line feeds) of each of the FAN buckets."""
+    raw = undo.decompress(data[1:]) if data[0] else data[1:]
+    shape = np.frombuffer(raw, "<i8", 2 * FAN).reshape(2, FAN)
+    ids = np.frombuffer(raw, "<i8", int(shape[0].sum()), 16 * FAN)
+    start = 8 * (2 * FAN + len(ids))
+    return [(ids[a:b], raw[start + c : start + d]) for (a, b), (c, d) in zip(_spans(shape[0].tolist()), _spans(shape[1].tolist()), strict=True)]
 
 
 def document_runs(joined: bytes, window: int, minimiser: int) -> list[tuple[int, int, int, int, int]]:
@@ -112,21 +129,25 @@ def _spans(sizes: list[int]) -> list[tuple[int, int]]:
 def repeated_words(docs: DataFrame, schema: str, emit, window: int = WINDOW, minimiser: int = MINIMISER, key: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``emit((id, text bytes, rest), words, removed flags) -> row tuple`` of ``schema`` for every row of ``docs``."""
     chunk_text, n_chunks = C.chunked(docs, key, text, carry=carry)
-    n_buckets = _buckets(n_chunks)
+    n_buckets = FAN * (n_chunks // 4 + 1)
 
     def send(chunk: int, rows: list, _: dict) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
         _, found = chunk_strings(rows, window, minimiser, n_buckets)
-        for bucket, (strings, _) in found.items():
-            ids = np.fromiter((s[1] for s in strings.values()), np.int64, len(strings))
-            yield C.batch(BLOB, [bucket], [chunk], [pack.compress(ids.tobytes())], [pack.compress(b"\n".join(strings))])
+        for together in sorted({bucket // FAN for bucket in found}):
+            buckets = [found.get(together * FAN + k, ({}, 0))[0] for k in range(FAN)]
+            yield C.batch(BLOB, [together], [chunk], [packed(buckets, pack)])
 
-    def judge(bucket: int, blobs: list[dict]) -> Iterator[pa.RecordBatch]:
+    def judge(together: int, blobs: list[dict]) -> Iterator[pa.RecordBatch]:
         undo = zstandard.ZstdDecompressor()
-        groups = [(np.frombuffer(undo.decompress(r["ids"]), np.int64), undo.decompress(r["words"])) for r in blobs]
-        for r, flags in zip(blobs, window_flags(groups, window), strict=True):
-            if flags.any():
-                yield C.batch(C.NOTE, [r["chunk"]], [bucket], ["flags"], [np.packbits(flags).tobytes()])
+        held = [(r["chunk"], unpacked(r.pop("strings"), undo)) for r in blobs]
+        for k in range(FAN):
+            groups = [(chunk, buckets[k]) for chunk, buckets in held if len(buckets[k][0])]
+            if not groups:
+                continue
+            for (chunk, _), flags in zip(groups, window_flags([g for _, g in groups], window), strict=True):
+                if flags.any():
+                    yield C.batch(C.NOTE, [chunk], [together * FAN + k], ["flags"], [np.packbits(flags).tobytes()])
 
     def apply(chunk: int, rows: list, told: dict) -> Iterator[pa.RecordBatch]:
         out = []

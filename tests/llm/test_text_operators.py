@@ -1,5 +1,6 @@
 """Word, byte, fingerprint, token and URL operators against brute force, with the awkward cases of every contract."""
 
+import functools
 import hashlib
 import re
 import zlib
@@ -10,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from spanforge.llm import bwtdedup, decontam, idcodec, langid, nearcopies, packing, quality, sharding, simhash, superkmers, urls
+from spanforge.llm import bwtdedup, chunks, decontam, idcodec, langid, nearcopies, packing, quality, sharding, simhash, superkmers, urls
 from spanforge.llm.tokens import TokenEncoder, default_path
 from tests.compare import differences
 from tests.conftest import SF
@@ -140,7 +141,9 @@ def test_near_copies_are_verified(spark, empty):
     assert nearcopies.drop_near_copies(empty).count() == 0
 
 
-def test_substring_words(docs, empty):
+@pytest.mark.parametrize("chunk_bytes", [chunks.CHUNK_BYTES, 1_500])
+def test_substring_words(docs, empty, monkeypatch, chunk_bytes):
+    monkeypatch.setattr(chunks, "chunked", functools.partial(chunks.chunked, chunk_bytes=chunk_bytes))
     rows = [(d, WORD.findall(t or "")) for d, t, *_ in awkward()]
     first = {}
     for d, w in rows:
@@ -165,7 +168,9 @@ def test_substring_words(docs, empty):
     assert untouched[12] == "12 34 !!" and untouched[2] is None and untouched[3] == " \t\n"
 
 
-def test_substring_bytes(docs, empty):
+@pytest.mark.parametrize("chunk_bytes", [chunks.CHUNK_BYTES, 1_500])
+def test_substring_bytes(docs, empty, monkeypatch, chunk_bytes):
+    monkeypatch.setattr(chunks, "chunked", functools.partial(chunks.chunked, chunk_bytes=chunk_bytes))
     rows = [(d, (t or "").encode()) for d, t, *_ in awkward()]
     times = Counter(b[i : i + 200] for _, b in rows for i in range(len(b) - 199))
     want = []
