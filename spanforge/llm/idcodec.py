@@ -30,7 +30,8 @@ LAYOUT = {0: (240, 0), 2: (60, 1), 3: (30, 2), 4: (20, 3), 5: (15, 4), 6: (12, 5
 ESCAPE = 1
 FRAME = 1024
 BLOCK_IDS = 1 << 17
-PART_BYTES = 32 << 20  # of text in a partition
+PART_BYTES = 32 << 20  # of text in a partition, more where MAX_PARTS of them are too few; blocks keep their size
+MAX_PARTS = 20_000  # a row for each reaches the driver
 #: (values, bits, selector) of words of several values, by rising count.
 RUNS = sorted((count, bits, selector) for selector, (count, bits) in LAYOUT.items() if count > 1)
 ESCAPED = 255  # in place of a count
@@ -174,6 +175,7 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int
     rows = small_batches(docs).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // PART_BYTES + 1)
+    parts = min(parts, MAX_PARTS)
     # Rows that repeat an id, or lack one, may lie in several ranges: the text's hash tells them apart.
     ordered = rows.withColumn("h", F.xxhash64("t")).repartitionByRange(parts, "id", "h").sortWithinPartitions("id", "h").select("id", "t")
     schema = "part int, block int, doc_ids array<long>, doc_tokens array<long>, frame_words array<long>, words binary"

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.llm.chunks import release, small_batches
@@ -213,6 +213,6 @@ def drop_near_copies(docs: DataFrame, shingle: int = 5, similarity: tuple[int, i
     fate = each.join(first, "class").select(F.col("id").alias("_id"), F.col("th").alias("_th"), (~F.col("name").eqNullSafe(F.col("first"))).alias("_gone"), (F.col("n") > 1).alias("_many")).where("_gone or _many")
     named = docs.withColumn("_text_hash", F.xxhash64(F.col(text).cast("string")))
     told = named.join(fate, named[key].cast("long").eqNullSafe(fate["_id"]) & (named["_text_hash"] == fate["_th"]), "left").where("_gone is null or not _gone")
-    order = Window.partitionBy(key, "_text_hash").orderBy(F.to_json(F.struct(*docs.columns)))
-    repeated = told.where("_many").withColumn("_place", F.row_number().over(order)).where("_place = 1")
-    return told.where("_many is null").select(*docs.columns).unionByName(repeated.select(*docs.columns))
+    row = F.struct(*docs.columns)
+    repeated = told.where("_many").groupBy(key, "_text_hash").agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_row.*")
+    return told.where("_many is null").select(*docs.columns).unionByName(repeated)

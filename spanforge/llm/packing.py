@@ -26,7 +26,8 @@ DIMS, BITS = 3, 10
 SPREAD = 4.0  # projections are clipped to this many standard deviations
 VECTOR = 256  # places of a document's hashed vector
 ROUTE_SAMPLE = 4_000  # documents expected in the sample that places the partitions' borders; routing only
-PART_BYTES = 16 << 20  # of text in a partition
+PART_BYTES = 16 << 20  # of text in a partition, more where MAX_PARTS of them are too few; partitions stream, so any size will do
+MAX_PARTS = 20_000  # bound of the borders and of their sample, which pass through the driver
 BATCH_BYTES = 8 << 20  # of text whose ids are held at once
 
 
@@ -115,13 +116,14 @@ def pack(docs: DataFrame, length: int = 1024, path: str | None = None, end_id: i
     ``digest``: ``ids_crc32``, over little-endian unsigned 32-bit ids, in place of ``ids``.
 
     Documents are dealt to partitions of about PART_BYTES by (Hilbert key, id), whose borders come from a sample of
-    ROUTE_SAMPLE documents or 20 a partition, and packed while they stream by. Sequence numbers are made consecutive from each partition's count.
+    ROUTE_SAMPLE documents or 20 a partition, 400 000 at most, and packed while they stream by. Sequence numbers are made consecutive from each partition's count.
     """
     path = path or default_path()
     wide = 2 if TokenEncoder.of(path).dtype == np.uint16 else 4
     spark = docs.sparkSession
     found = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(text).cast("string"))).alias("size")).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (found["size"] or 0) // PART_BYTES + 1)
+    parts = min(parts, MAX_PARTS)
     sample = docs.sample(min(1.0, max(ROUTE_SAMPLE, 20 * parts) / max(1, found["n"])), seed=1)
     seen = sorted((r["curve"], r["id"] if r["id"] is not None else -1) for r in keyed_tokens(sample, path, end_id, key, text).select("curve", "id").collect())
     borders = [seen[len(seen) * i // parts] for i in range(1, parts)] if seen else []
