@@ -42,7 +42,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that of the smallest id, one without an id only where none has
     one. Wordless texts are copies of each other; of rows that repeat id and text one stays."""
-    return nearcopies.drop_near_copies(docs, NEAR_WORDS, NEAR_SIMILARITY, NEAR_SHINGLE, NEAR_RADIUS)
+    return _freed(nearcopies.drop_near_copies(_held(docs), NEAR_WORDS, NEAR_SIMILARITY, NEAR_SHINGLE, NEAR_RADIUS), docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go, with all rows of their id; rows without an id stay."""
-    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return _freed(decontam.decontaminate(_held(docs), table(spark, sf_dir, "benchmark")), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
