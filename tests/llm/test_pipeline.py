@@ -59,7 +59,8 @@ def test_awkward_tables(spark, planted, tmp_path):
     when = datetime.datetime(2024, 1, 2, 3, 4, 5, 123456)
     rows = [(i, prose(i), "en", "s", 1, when, {1: "a"}, i) for i in range(200, 206)]
     rows += [rows[0], (None, prose(300), "en", "s", 1, when, None, 9), (206, None, None, None, None, None, None, None), (207, "", "en", "s", 0, when, {}, 1)]
-    docs = spark.createDataFrame(rows, SCHEMA + ", n_words timestamp, kept map<int,string>, item_id long")
+    rows = [(*r, 7, "x") for r in rows]
+    docs = spark.createDataFrame(rows, SCHEMA + ", n_words timestamp, kept map<int,string>, item_id long, `a.b` int, _text_hash string")
     for name, df in (("rows", docs), ("none", docs.limit(0))):
         for i, (_, stage) in enumerate(p.STAGES):
             out = str(tmp_path / f"{name}{i}")
