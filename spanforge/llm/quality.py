@@ -9,6 +9,8 @@ that is called like one of the operator's own columns is returned as ``<name>_in
 from __future__ import annotations
 
 import json
+import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +21,8 @@ from spanforge.session import cut
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 BUCKETS = 16_384
-MAX_TRUSTED = 10_000  # bound of the labelled sample that is broadcast
+BROADCAST_IDS = 500_000  # labelled ids that are broadcast at once
+MAX_PARTS = 16  # broadcasts of that many, each reading the documents once, before both sides are exchanged
 SCALE = 1_000_000  # weights are whole millionths, so that sums don't depend on their order
 KEEP_SHARE = 0.001  # of trusted documents whose score may lie under the threshold
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -73,19 +76,53 @@ def _grams(hashes: str) -> Column:
     return F.concat(F.col(hashes), _joined(hashes, 2))
 
 
-def trusted_sample(labels: DataFrame, condition: str, limit: int = MAX_TRUSTED) -> DataFrame:
-    """At most ``limit`` distinct labelled ids, those of the smallest hash: a bounded sample for fitting only."""
-    ids = labels.where(condition).where("doc_id is not null").select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+def labelled(labels: DataFrame) -> DataFrame:
+    """Every labelled id once: ``good`` (of good quality and not toxic), ``poor``, ``toxic``, and whether its half is the
+    one that counts are taken from (``fit``) or the one that thresholds are."""
+    said = [F.coalesce(F.max(F.expr(c)), F.lit(False)).alias(n) for n, c in (("good", "quality = 1 and toxic = 0"), ("poor", "quality = 0"), ("toxic", "toxic = 1"))]
+    ids = labels.where("doc_id is not null").groupBy("doc_id").agg(*said).where("good or poor or toxic")
+    return ids.withColumn("fit", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0)
 
 
-def gram_weights(docs: DataFrame, trusted: DataFrame, text: str = "text", buckets: int = BUCKETS) -> DataFrame:
-    """``(bucket, weight)``: log of target over corpus share in millionths, add-one smoothed; counts cover all rows."""
-    mark = F.broadcast(trusted.select(F.col("doc_id").alias("_t"), F.lit(1).alias("_hit")))
-    grams = docs.select("doc_id", F.col(text).alias("_text")).join(mark, F.col("doc_id") == F.col("_t"), "left").select("_hit", "_text")
-    hashed = _held(grams, _h=F.transform(words_of(F.col("_text")), lambda x: F.xxhash64(x)))
-    counts = hashed.select("_hit", F.explode(_grams("_h")).alias("_g")).select("_hit", F.pmod("_g", F.lit(buckets)).cast("int").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.count("_hit").alias("target"))
-    counts = cut(counts)
+def labelled_texts(docs: DataFrame, labels: DataFrame, text: str = "text", part: int = BROADCAST_IDS, parts: int = MAX_PARTS) -> DataFrame:
+    """``(good, poor, toxic, fit, text)`` of every row of a labelled id, materialised.
+
+    Ids are broadcast ``part`` at a time, each part reading the documents once, so texts without a label never travel;
+    labels of more than ``parts`` such parts are joined by an exchange of both sides.
+    """
+    ids = cut(labelled(labels))
+    rows, n = docs.select("doc_id", F.col(text).alias("text")), math.ceil(ids.count() / part)
+    flags = ["good", "poor", "toxic", "fit", "text"]
+    if n <= 1 or n > parts:
+        return cut(rows.join(F.broadcast(ids) if n <= 1 else ids, "doc_id").select(*flags))
+    found = [cut(rows.join(F.broadcast(ids.where(F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(n)) == i)), "doc_id").select(*flags)) for i in range(n)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def quantile(rows: DataFrame, column: str, share: float) -> float | None:
+    """The exact interpolated quantile over all rows, None without any. Only the tail beyond it is ordered, so it is meant
+    for shares near 0 or 1."""
+    n = rows.count()
+    if not n:
+        return None
+    at = (n - 1) * share
+    low, low_end = math.floor(at), share < 0.5
+    tail = rows.select(column).orderBy(F.asc(column) if low_end else F.desc(column)).limit(min(low + 2, n) if low_end else n - low).collect()
+    a, b = (r[0] for r in ((tail[low], tail[min(low + 1, n - 1)]) if low_end else (tail[-1], tail[max(len(tail) - 2, 0)])))
+    return a if a == b else (low + 1 - at) * a + (at - low) * b
+
+
+def _bucket_counts(texts: DataFrame, text: str, buckets: int) -> DataFrame:
+    hashed = _held(texts.select(F.col(text).alias("_text")), _h=F.transform(words_of(F.col("_text")), lambda x: F.xxhash64(x)))
+    return hashed.select(F.explode(_grams("_h")).alias("_g")).select(F.pmod("_g", F.lit(buckets)).cast("int").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+
+
+def gram_weights(docs: DataFrame, target: DataFrame, text: str = "text", buckets: int = BUCKETS) -> DataFrame:
+    """``(bucket, weight)``: log of target over corpus share in millionths, add-one smoothed; counts cover all rows of the
+    corpus ``docs`` and all of the ``target``, which has a column ``text``."""
+    wanted = _bucket_counts(target, "text", buckets).withColumnRenamed("n", "target")
+    counts = _bucket_counts(docs, text, buckets).withColumnRenamed("n", "raw").join(wanted, "bucket", "left")
+    counts = cut(counts.withColumn("target", F.coalesce("target", F.lit(0).cast("long"))))
     total = counts.agg(F.sum("raw").alias("raw_all"), F.sum("target").alias("target_all")).first()
     raw_all, target_all = total["raw_all"] or 0, total["target_all"] or 0
     if not target_all:
@@ -136,60 +173,53 @@ def score(docs: DataFrame, weights: list[int], text: str = "text", keep: list[st
     return counted.select(*[F.col(k).alias(names[c]) for c, k in kept.items()], *out, F.when(n > 0, total / n).otherwise(F.lit(0.0)).alias("llr"), toxicity(F.col("_text"), marks or {}).alias("toxicity"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", buckets: int = BUCKETS, limit: int = MAX_TRUSTED, keep_share: float = KEEP_SHARE) -> tuple[list[int], float]:
-    """Weights, and the score under which a document is rejected.
+def fit(docs: DataFrame, texts: DataFrame, text: str = "text", buckets: int = BUCKETS, keep_share: float = KEEP_SHARE) -> tuple[list[int], float]:
+    """Weights, and the score under which a document is rejected, from the ``labelled_texts``.
 
-    Trusted: labelled good quality and not toxic. One half of the trusted sample gives the weights, the other half and a
-    like sample labelled poor give the threshold, so that no document is measured by its own counts: halfway between
+    Trusted: labelled good quality and not toxic. One half of all trusted documents gives the weights, the other half and
+    all that are labelled poor give the threshold, so that no document is measured by its own counts: halfway between
     the score that all but ``keep_share`` of the former exceed and the one that all but ``keep_share`` of the latter
-    stay under; the former if these overlap. Without structurally sound samples of both kinds nothing is rejected by
+    stay under; the former if these overlap. Without structurally sound documents of both kinds nothing is rejected by
     the ratio.
     """
-    trusted = trusted_sample(labels, "quality = 1 and toxic = 0", limit).withColumn("_fit", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0)
-    trusted = cut(trusted.withColumn("_good", F.lit(True)))
-    poor = cut(trusted_sample(labels, "quality = 0", limit).withColumn("_good", F.lit(False)))
-    weights = weight_array(gram_weights(docs, trusted.where("_fit"), text, buckets), buckets)
-    measured = trusted.where("not _fit").drop("_fit").unionByName(poor)
-    sample = docs.select("doc_id", F.col(text).alias("_sample_text")).join(F.broadcast(measured), "doc_id")
-    ends = F.expr(f"percentile(llr, {keep_share}D) filter (where _good)"), F.expr(f"percentile(llr, {1 - keep_share}D) filter (where not _good)")
-    row = score(sample, weights, "_sample_text", ["_good"]).where("not base_failed").agg(ends[0].alias("good"), ends[1].alias("poor")).first()
-    if row["good"] is None or row["poor"] is None:
+    weights = weight_array(gram_weights(docs, texts.where("good and fit"), text, buckets), buckets)
+    measured = texts.select((F.col("good") & ~F.col("fit")).alias("_good"), F.col("poor").alias("_poor"), "text").where("_good or _poor")
+    scored = cut(score(measured, weights, "text", ["_good", "_poor"]).where("not base_failed").select("_good", "_poor", "llr"))
+    good, poor = quantile(scored.where("_good"), "llr", keep_share), quantile(scored.where("_poor"), "llr", 1 - keep_share)
+    if good is None or poor is None:
         return weights, float("-inf")
-    return weights, (row["good"] + row["poor"]) / 2 if row["poor"] < row["good"] else row["good"]
+    return weights, (good + poor) / 2 if poor < good else good
 
 
-def fit_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", limit: int = MAX_TRUSTED, keep_share: float = KEEP_SHARE) -> tuple[dict[int, int], float]:
+def fit_toxic(texts: DataFrame, keep_share: float = KEEP_SHARE) -> tuple[dict[int, int], float]:
     """Words that mark toxic documents with their weights, and the toxicity over which a document is rejected.
 
-    One half of the trusted sample and of a like sample labelled toxic, whatever its quality, gives the words: those in
+    One half of all trusted documents and of all labelled toxic, whatever their quality, gives the words: those in
     a larger share of the toxic documents than chance explains, weighted by the log of the shares' ratio. The other
     halves give the threshold, as in ``fit``: halfway between what all but ``keep_share`` of the trusted stay under and
     what all but ``keep_share`` of the toxic exceed; the former if these overlap.
     """
-    good = trusted_sample(labels, "quality = 1 and toxic = 0", limit).withColumn("_toxic", F.lit(False))
-    bad = trusted_sample(labels, "toxic = 1", limit).withColumn("_toxic", F.lit(True))
-    marked = cut(good.unionByName(bad).withColumn("_fit", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0))
-    sample = cut(docs.select("doc_id", F.col(text).alias("_sample_text")).join(F.broadcast(marked), "doc_id"))
-    held = sample.where("_fit").select("_toxic", "_sample_text")
-    row = held.agg(F.count_if("_toxic").alias("n_bad"), F.count_if(~F.col("_toxic")).alias("n_good")).first()
+    held = texts.where("fit and (good or toxic)").select("good", "toxic", "text")
+    row = held.agg(F.count_if("toxic").alias("n_bad"), F.count_if("good").alias("n_good")).first()
     n_bad, n_good = row["n_bad"], row["n_good"]
     if not n_bad or not n_good:
         return {}, float("inf")
-    counts = held.select("_toxic", F.explode(plain_words(F.col("_sample_text"))).alias("word")).groupBy("word").agg(F.count_if("_toxic").alias("bad"), F.count_if(~F.col("_toxic")).alias("good"))
+    counts = held.select("good", "toxic", F.explode(plain_words(F.col("text"))).alias("word")).groupBy("word").agg(F.count_if("toxic").alias("bad"), F.count_if("good").alias("good"))
     both = (F.col("bad") + F.col("good") + 0.5) / F.lit(n_bad + n_good + 1.0)
     apart = (F.col("bad") / F.lit(float(n_bad)) - F.col("good") / F.lit(float(n_good))) / F.sqrt(both * (1 - both) * F.lit(1 / n_bad + 1 / n_good))
     ratio = F.log((F.col("bad") + 0.5) / F.lit(n_bad + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(n_good + 1.0))
     found = counts.select("word", apart.alias("apart"), F.round(ratio * SCALE).cast("long").alias("weight")).where(F.col("apart") >= MARK_DEVIATIONS)
     marks = {r["word"]: r["weight"] for r in found.orderBy(F.desc("apart"), "word").limit(MAX_MARKS).collect()}
-    ends = F.expr(f"percentile(t, {1 - keep_share}D) filter (where not _toxic)"), F.expr(f"percentile(t, {keep_share}D) filter (where _toxic)")
-    row = sample.where("not _fit").select("_toxic", toxicity(F.col("_sample_text"), marks).alias("t")).agg(ends[0].alias("good"), ends[1].alias("bad")).first()
-    if row["good"] is None or row["bad"] is None:
+    rest = cut(texts.where("not fit and (good or toxic)").select("good", "toxic", toxicity(F.col("text"), marks).alias("t")))
+    good, bad = quantile(rest.where("good"), "t", 1 - keep_share), quantile(rest.where("toxic"), "t", keep_share)
+    if good is None or bad is None:
         return {}, float("inf")
-    return marks, (row["good"] + row["bad"]) / 2 if row["bad"] > row["good"] else row["good"]
+    return marks, (good + bad) / 2 if bad > good else good
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, text: str = "text", keep: list[str] | None = None, **kw) -> DataFrame:
     """Every row of ``docs``: columns ``keep``, structural counts, ``base_failed``, ``llr``, ``toxicity``, ``kept``."""
-    weights, threshold = fit(docs, labels, text, **kw)
-    marks, most = fit_toxic(docs, labels, text, **{k: v for k, v in kw.items() if k != "buckets"})
+    texts = labelled_texts(docs, labels, text)
+    weights, threshold = fit(docs, texts, text, **kw)
+    marks, most = fit_toxic(texts, **{k: v for k, v in kw.items() if k != "buckets"})
     return score(docs, weights, text, keep, marks).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(threshold)) & (F.col("toxicity") <= F.lit(most)))

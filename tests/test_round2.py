@@ -1,8 +1,10 @@
 """Cases of the second review."""
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from spanforge.llm import quality
 from spanforge.plans.queries import r6
 
 
@@ -10,3 +12,25 @@ def test_rounding_of_ties_equals_sql(spark):
     want = duckdb.sql("select k, round(k / (2.0 * 320::bigint), 6) from range(1, 40000, 2) t(k)").fetchall()
     got = spark.range(1, 40000, 2).select("id", r6(F.col("id") / F.lit(640)).alias("v")).collect()
     assert sorted((r.id, r.v) for r in got) == sorted(want)
+
+
+@pytest.mark.parametrize("part, parts", [(100_000, 8), (7_000, 8), (1_000, 2)])
+def test_quality_counts_all_labelled_documents(spark, part, parts):
+    docs = spark.range(24_000).selectExpr("id as doc_id", "concat('a b ', id % 2) as text")
+    labels = spark.range(24_000).selectExpr("id as doc_id", "int(id < 22000) as quality", "int(id % 11 = 0) as toxic")
+    texts = quality.labelled_texts(docs, labels, part=part, parts=parts)
+    assert (texts.count(), texts.where("good").count(), texts.where("poor").count(), texts.where("toxic").count()) == (24_000, 20_000, 2_000, 2_182)
+    if part == 100_000:
+        fit = texts.where("good and fit").count()
+        assert 9_000 < fit < 11_000  # a sample of 10 000 gave half as many
+        want = {r.bucket: r.n for r in quality._bucket_counts(docs.where("doc_id < 22000 and doc_id % 11 <> 0"), "text", 64).collect()}
+        got = {r.bucket: r.n for r in quality._bucket_counts(texts.where("good"), "text", 64).collect()}
+        assert got == want
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 999, 1001, 4003])
+def test_quantile_equals_percentile(spark, n):
+    rows = spark.range(n).selectExpr("double(id * 7919 % 1013) / 7 as v").cache()
+    for share in (0.0, 0.001, 0.3, 0.999, 1.0):
+        assert quality.quantile(rows, "v", share) == pytest.approx(rows.agg(F.expr(f"percentile(v, {share}D)")).first()[0], rel=1e-12)
+    assert quality.quantile(rows.limit(0), "v", 0.5) is None
