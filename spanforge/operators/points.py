@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.operators.spatial_join import points_in_boxes
+from spanforge.session import cut
 
 GROUND = 2
+SQUARE = 4  # side of the squares that crowns are dealt to, in extents of the largest crown of their level
+CROWNS_AT_ONCE = 1024
 
 
 def point_cells(points: DataFrame, cell: float, width: int | None = None, height: int | None = None) -> DataFrame:
@@ -40,11 +47,15 @@ def fill_dtm(dtm: DataFrame, width: int, height: int, reach: int = 3) -> DataFra
     return dtm.select("r", "c", "g").unionByName(filled.select("r", "c", "g"))
 
 
+def points_above(points: DataFrame, dtm: DataFrame, cell: float) -> DataFrame:
+    """``(x, y, z_norm)`` of points other than ground, where the ground is known."""
+    above = point_cells(points.where(F.col("cls") != GROUND), cell).join(dtm, ["r", "c"]).where("g is not null and not isnan(g)")
+    return above.select("x", "y", (F.col("z") - F.col("g")).alias("z_norm"))
+
+
 def normalised_points(points: DataFrame, dtm: DataFrame, crowns: DataFrame, cell: float) -> DataFrame:
     """``(tree_id, z_norm)`` of points other than ground inside crowns, where the ground is known."""
-    above = point_cells(points.where(F.col("cls") != GROUND), cell).join(dtm, ["r", "c"]).where("g is not null and not isnan(g)")
-    inside = points_in_boxes(above.select("x", "y", (F.col("z") - F.col("g")).alias("z_norm")), crowns.select("tree_id", "x0", "y0", "x1", "y1"))
-    return inside.select("tree_id", "z_norm")
+    return points_in_boxes(points_above(points, dtm, cell), crowns.select("tree_id", "x0", "y0", "x1", "y1")).select("tree_id", "z_norm")
 
 
 def tree_stats(heights: DataFrame, threshold: float = 3.0, quantile: float = 0.99) -> DataFrame:
@@ -54,6 +65,129 @@ def tree_stats(heights: DataFrame, threshold: float = 3.0, quantile: float = 0.9
     return stats.withColumn("pct_above", F.col("n_above") / F.col("n_total"))
 
 
+def crown_stats(points: DataFrame, dtm: DataFrame, crowns: DataFrame, cell: float, threshold: float = 3.0, quantile: float = 0.99) -> DataFrame:
+    """``tree_stats`` of the ``normalised_points``, without a row for each point in each crown.
+
+    Crowns go to the square that holds their lower corner, points to every square whose crowns may reach them (their own
+    and a margin as wide as the largest crown), so a crown's points are all in one group, where they are counted and ranked
+    as bits. Crowns under a quarter, a sixteenth... of the largest have squares of their own size. Ids with several boxes
+    pool their points, so they go by the rows.
+    """
+    above = points_above(points, dtm, cell)
+    ids = crowns.select("tree_id", "x0", "y0", "x1", "y1")
+    repeated = cut(ids.groupBy("tree_id").count().where("count > 1").select("tree_id"))
+    several = bool(repeated.limit(1).count())
+    single = ids.join(repeated.withColumnRenamed("tree_id", "_again"), F.expr("tree_id <=> _again"), "left_anti") if several else ids
+    boxes = single.select("tree_id", *[F.col(c).cast("double").alias(c) for c in ("x0", "y0", "x1", "y1")]).where("x1 > x0 and y1 > y0")
+    extent = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    stats = None
+    if (top := boxes.agg(F.max(extent)).first()[0]) is not None:
+        level = F.floor(F.log(F.lit(top) / extent) / math.log(4) + 1e-9).cast("int")
+        boxes = boxes.withColumn("_level", level)
+        levels = sorted(r[0] for r in boxes.select("_level").distinct().collect())
+        reach = F.element_at(F.array(*[F.lit(top / 4**k * (1 + 1e-6)) for k in range(levels[-1] + 1)]), F.col("_level") + 1)
+        square = lambda v: F.floor(v / (SQUARE * reach)).cast("long")
+        dealt = boxes.select("*", reach.alias("_reach"), square(F.col("x0")).alias("_cx"), square(F.col("y0")).alias("_cy"))
+        spread = above.where("abs(x) < double('inf') and abs(y) < double('inf')").select(*[F.col(c).cast("double").alias(c) for c in ("x", "y", "z_norm")], F.explode(F.array(*[F.lit(k) for k in levels])).alias("_level"))
+        spread = spread.select("*", F.explode(F.sequence(square(F.col("x") - reach), square(F.col("x")))).alias("_cx"))
+        spread = spread.select("*", F.explode(F.sequence(square(F.col("y") - reach), square(F.col("y")))).alias("_cy"))
+        key = ["_level", "_cx", "_cy"]
+        kind = crowns.schema["tree_id"].dataType.simpleString()
+        stats = dealt.groupBy(*key).cogroup(spread.groupBy(*key)).applyInArrow(_ranker(threshold, quantile), f"tree_id {kind}, p99_height double, n_total long, n_above long")
+    if several or stats is None:
+        again = ids.join(repeated.withColumnRenamed("tree_id", "_again"), F.expr("tree_id <=> _again"), "left_semi")
+        rest = tree_stats(points_in_boxes(above, again).select("tree_id", "z_norm"), threshold, quantile).drop("pct_above")
+        stats = rest if stats is None else stats.unionByName(rest)
+    return stats.withColumn("pct_above", F.col("n_above") / F.col("n_total"))
+
+
+def _ranker(threshold: float, quantile: float):
+    def rank(crowns: pa.Table, points: pa.Table) -> pa.Table:
+        out = {"tree_id": [], "p99_height": [], "n_total": [], "n_above": []}
+        kind = crowns.schema.field("tree_id").type
+        ids = crowns.column("tree_id").combine_chunks()
+        ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
+        if len(crowns) and len(points):
+            x0, y0, x1, y1, reach = (crowns.column(c).to_numpy() for c in ("x0", "y0", "x1", "y1", "_reach"))
+            x, y = (points.column(c).to_numpy() for c in ("x", "y"))
+            z = points.column("z_norm")
+            known = ~z.is_null().to_numpy()
+            z = z.to_numpy()
+            side = reach[0]
+            # Blocks as wide as the largest crown: a block's crowns reach into the next block at most.
+            by, bx = np.floor(y0 / side).astype("int64"), np.floor(x0 / side).astype("int64")
+            py, px = np.floor(y / side).astype("int64"), np.floor(x / side).astype("int64")
+            order = np.lexsort((px, py))
+            x, y, z, known, px, py = (v[order] for v in (x, y, z, known, px, py))
+            lowest, wide = min(px.min(), bx.min()), max(px.max(), bx.max()) - min(px.min(), bx.min()) + 3
+            at = py * wide + (px - lowest)
+            crown_order = np.lexsort((bx, by))
+            block = (by * wide + (bx - lowest))[crown_order]
+            starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            for s, e in zip(starts, np.r_[starts[1:], len(block)], strict=True):
+                ends = np.searchsorted(at, [block[s], block[s] + 2, block[s] + wide, block[s] + wide + 2])
+                near = np.r_[ends[0] : ends[1], ends[2] : ends[3]]
+                if not len(near):
+                    continue
+                near = near[np.argsort(z[near], kind="stable")]
+                near, blank = near[known[near]], near[~known[near]]
+                for part in np.array_split(crown_order[s:e], -(-(e - s) // CROWNS_AT_ONCE)):
+                    box = x0[part], y0[part], x1[part], y1[part]
+                    n, value, n_above = _ranks(x[near], y[near], z[near], box, threshold, quantile)
+                    total = n + (_ranks(x[blank], y[blank], z[blank], box, threshold, quantile)[0] if len(blank) else 0)
+                    hit = total > 0
+                    out["tree_id"].append(ids.take(pa.array(part[hit])))
+                    out["p99_height"].append(pa.array(value[hit], mask=(n == 0)[hit]))
+                    out["n_total"].append(pa.array(total[hit]))
+                    out["n_above"].append(pa.array(n_above[hit]))
+        types = [kind, pa.float64(), pa.int64(), pa.int64()]
+        return pa.table({k: pa.chunked_array(v, type=t) for (k, v), t in zip(out.items(), types, strict=True)})
+
+    return rank
+
+
+def _ranks(x, y, z, box, threshold, quantile):
+    """Number of points, interpolated quantile and number above the threshold of each box; ``z`` ascends.
+
+    A bit for each point tells whether a box holds it: two bounds on either axis, each a row of bits that all boxes share.
+    """
+    m, words = len(box[0]), -(-len(x) // 64)
+    none = np.zeros(m, "int64")
+    if not words:
+        return none, np.zeros(m), none
+
+    def between(v, low, high):
+        bounds, where = np.unique(np.concatenate([low, high]), return_inverse=True)
+        below = np.zeros((len(bounds), words * 8), "uint8")
+        packed = np.packbits(v[None, :] < bounds[:, None], axis=1, bitorder="little")
+        below[:, : packed.shape[1]] = packed
+        below = below.view("<u8")
+        return below[where[m:]] & ~below[where[:m]]
+
+    bits = between(x, box[0], box[2]) & between(y, box[1], box[3])
+    count = np.cumsum(np.bitwise_count(bits), axis=1, dtype="int64")
+    n = count[:, -1]
+    first = int(np.searchsorted(z, threshold, side="right"))  # NaN sorts last and counts as above, as in SQL
+    word, bit = divmod(first, 64)
+    low = count[:, word - 1] if word else none
+    if bit:
+        low = low + np.bitwise_count(bits[:, word] & np.uint64((1 << bit) - 1))
+    rows = np.arange(m)
+
+    def nth(k):
+        w = np.argmax(count > k[:, None], axis=1)
+        left = k - np.where(w > 0, count[rows, w - 1], 0)
+        inside = np.cumsum(np.unpackbits(bits[rows, w].astype("<u8")[:, None].view("uint8"), axis=1, bitorder="little"), axis=1, dtype="int64")
+        return z[np.minimum(w * 64 + np.argmax(inside > left[:, None], axis=1), len(z) - 1)]
+
+    place = np.maximum(n - 1, 0) * quantile
+    a, b = np.floor(place), np.ceil(place)
+    za, zb = nth(a.astype("int64")), nth(b.astype("int64"))
+    with np.errstate(invalid="ignore"):
+        value = np.where((a == b) | (za == zb), za, (b - place) * za + (place - a) * zb)
+    return n, value, n - low
+
+
 def flag_heights(crowns: DataFrame, stats: DataFrame, min_share: float = 0.30, drop: bool = False) -> DataFrame:
     """Crowns with their statistics (0 where no point fell) and a flag; rows are flagged, dropped only on demand."""
     joined = crowns.join(stats, "tree_id", "left")

@@ -2,29 +2,45 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CELL = 64
+COPIES = 4.0  # cells that a box touches on average
 
 
 def _cells(prefix: str, axis: str, cell: int) -> Column:
-    low, high = F.floor(F.col(f"{prefix}{axis}0") / cell), F.floor((F.col(f"{prefix}{axis}1") - 1) / cell)
+    low, high = F.floor(F.col(f"{prefix}{axis}0") / cell), F.floor((F.ceil(F.col(f"{prefix}{axis}1")) - 1) / cell)
     return F.sequence(low.cast("long"), F.greatest(low, high).cast("long"))
 
 
-def bucketed(boxes: DataFrame, prefix: str = "", cell: int = CELL) -> DataFrame:
-    """A row per cell that the half-open integer box touches."""
+def cell_size(boxes: DataFrame, copies: float = COPIES) -> float:
+    """The cell that boxes touch ``copies`` of on average, 1 at least, by one pass over their extents.
+
+    Of boxes about as large as the cell few pairs meet in vain; larger cells make the pairs of a dense area explode, smaller
+    ones the rows. Few very large boxes enlarge it, so the rows stay bounded whatever the extents.
+    """
+    w, h = (F.greatest(F.col(f"{a}1") - F.col(f"{a}0"), F.lit(0)).cast("double") for a in "xy")
+    row = boxes.agg(F.avg(w * h).alias("wh"), F.avg(w + h).alias("s")).first()
+    wh, s = row["wh"] or 0.0, row["s"] or 0.0
+    # wh / c^2 + s / c + 1 = copies
+    return float(max(1, math.ceil((s + math.sqrt(s * s + 4 * wh * (copies - 1))) / (2 * (copies - 1)))))
+
+
+def bucketed(boxes: DataFrame, prefix: str, cell: float) -> DataFrame:
+    """A row per cell that the half-open box touches; cells are whole numbers wide."""
     rows = boxes.select("*", F.explode(_cells(prefix, "x", cell)).alias("_cx"))
     return rows.select("*", F.explode(_cells(prefix, "y", cell)).alias("_cy"))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, cell: int = CELL) -> DataFrame:
+def overlap_join(left: DataFrame, right: DataFrame, cell: float | None = None) -> DataFrame:
     """Pairs of overlapping boxes: columns of ``left`` get the prefix ``a_``, of ``right`` ``b_``.
 
     A pair may meet in several cells; it is kept in the one that holds the lower corner of the intersection, so no
-    distinct is needed. The cell should be about twice a typical box; skewed cells are left to AQE's skew join.
+    distinct is needed. The cell is about as large as a typical box of ``left``; skewed cells are left to AQE's skew join.
     """
+    cell = cell or cell_size(left)
     a = bucketed(left.select(*[F.col(c).alias(f"a_{c}") for c in left.columns]), "a_", cell)
     b = bucketed(right.select(*[F.col(c).alias(f"b_{c}") for c in right.columns]), "b_", cell)
     pairs = a.join(b, ["_cx", "_cy"]).where("a_x0 < b_x1 and b_x0 < a_x1 and a_y0 < b_y1 and b_y0 < a_y1")
@@ -45,8 +61,9 @@ def span_intersections(pairs: DataFrame, spans: DataFrame) -> DataFrame:
     return pairs.join(sums, ["a_id", "b_id"])
 
 
-def points_in_boxes(points: DataFrame, boxes: DataFrame, cell: int = CELL) -> DataFrame:
+def points_in_boxes(points: DataFrame, boxes: DataFrame, cell: float | None = None) -> DataFrame:
     """Points ``(x, y)`` with every half-open box that holds them: each point has one cell, boxes are exploded."""
+    cell = cell or cell_size(boxes, 2 * COPIES)
     p = points.withColumn("_cx", F.floor(F.col("x") / cell).cast("long")).withColumn("_cy", F.floor(F.col("y") / cell).cast("long"))
     met = p.join(bucketed(boxes, "", cell), ["_cx", "_cy"])
     return met.where("x >= x0 and x < x1 and y >= y0 and y < y1").drop("_cx", "_cy")

@@ -54,7 +54,7 @@ def height_filter(points: DataFrame, trees: DataFrame, cfg: HeightConfig, raster
     """Crowns with height statistics and flag; with ``raster`` (cells across and down) the ground model's gaps are filled."""
     dtm = P.dtm_min(points, cfg.cell)
     dtm = P.fill_dtm(cut(dtm), *raster, reach=reach) if raster else dtm
-    stats = P.tree_stats(P.normalised_points(points, dtm, trees, cfg.cell), cfg.threshold, cfg.quantile)
+    stats = P.crown_stats(points, dtm, trees, cfg.cell, cfg.threshold, cfg.quantile)
     return P.flag_heights(trees, stats, cfg.min_share, cfg.drop)
 
 

@@ -1,10 +1,13 @@
 """Cases of the second review."""
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from spanforge.llm import quality
+from spanforge.operators import points as P
+from spanforge.operators import spatial_join as S
 from spanforge.plans.queries import r6
 
 
@@ -34,3 +37,33 @@ def test_quantile_equals_percentile(spark, n):
     for share in (0.0, 0.001, 0.3, 0.999, 1.0):
         assert quality.quantile(rows, "v", share) == pytest.approx(rows.agg(F.expr(f"percentile(v, {share}D)")).first()[0], rel=1e-12)
     assert quality.quantile(rows.limit(0), "v", 0.5) is None
+
+
+def test_crown_stats_equal_those_of_rows(spark):
+    rng = np.random.default_rng(5)
+    xy = [*rng.uniform(-20, 60, (3000, 2)).tolist(), *rng.integers(-20, 60, (3000, 2)).astype(float).tolist(), (float("nan"), 1.0)]
+    points = spark.createDataFrame([(x, y, None if i % 50 == 0 else float(z), 1 + int(i % 9 == 0)) for i, ((x, y), z) in enumerate(zip(xy, rng.normal(5, 4, len(xy)), strict=True))], "x double, y double, z double, cls int")
+    sizes = np.where(rng.random((400, 2)) < 0.8, rng.integers(0, 9, (400, 2)), rng.uniform(0, 45, (400, 2)))
+    low = rng.integers(-25, 60, (400, 2)).astype(float)
+    boxes = [(int(i) if i % 40 else 1, *a.tolist(), *(a + s).tolist()) for i, (a, s) in enumerate(zip(low, sizes, strict=True))] + [(None, 0.0, 0.0, 9.0, 9.0), (999, None, 0.0, 1.0, 1.0)]
+    crowns = spark.createDataFrame(boxes, "tree_id long, x0 double, y0 double, x1 double, y1 double")
+    dtm = P.dtm_min(points, 5.0)
+    rows = lambda df: {r.tree_id: r for r in df.collect()}
+    for quantile in (0.0, 0.5, 0.99, 1.0):
+        want = rows(P.tree_stats(P.normalised_points(points, dtm, crowns, 5.0), 3.0, quantile))
+        got = rows(P.crown_stats(points, dtm, crowns, 5.0, 3.0, quantile))
+        assert want.keys() == got.keys() and len(want) > 300
+        for k, w in want.items():
+            assert (got[k].n_total, got[k].n_above, got[k].pct_above) == (w.n_total, w.n_above, w.pct_above)
+            assert got[k].p99_height == pytest.approx(w.p99_height, abs=1e-12)
+    assert P.crown_stats(points, dtm, crowns.limit(0), 5.0).count() == P.crown_stats(points.limit(0), dtm, crowns, 5.0).count() == 0
+
+
+def test_cells_follow_the_boxes(spark):
+    assert S.cell_size(spark.createDataFrame([(0, 0, 14, 14)] * 9, "x0 long, y0 long, x1 long, y1 long")) == 14
+    assert S.cell_size(spark.createDataFrame([], "x0 long, y0 long, x1 long, y1 long")) == 1
+    few = spark.range(2000).selectExpr("id % 40 as x0", "id div 40 as y0", "id % 40 + 6 as x1", "id div 40 + 6 as y1", "id")
+    plan = S.overlap_join(few, few)
+    assert plan.count() == spark.sql("select count(*) from {t} a join {t} b on a.x0 < b.x1 and b.x0 < a.x1 and a.y0 < b.y1 and b.y0 < a.y1", t=few).first()[0]
+    met = S.bucketed(few, "", S.cell_size(few)).groupBy("_cx", "_cy").count().agg(F.sum(F.col("count") * F.col("count"))).first()[0]
+    assert met < 6 * plan.count()  # cells of 64 brought 2000 * 2000 pairs together
