@@ -59,9 +59,13 @@ def _over(share: str, whole, threshold: float):
 
 def duplicate_edges(objects: DataFrame, iou: float = 0.7, containment: float = 0.92, spans: DataFrame | None = None) -> DataFrame:
     """Pairs whose intersection over union, or over the smaller area, exceeds its threshold (strictly, in integers)."""
-    pairs = duplicate_pairs(objects, spans).where("inter > 0")
     union = F.col("a_area") + F.col("b_area") - F.col("inter")
-    return pairs.where(_over("inter", union, iou) | _over("inter", F.least("a_area", "b_area"), containment))
+    far = _over("inter", union, iou) | _over("inter", F.least("a_area", "b_area"), containment)
+    pairs = duplicate_pairs(objects).where("inter > 0").where(far)
+    if spans is None:
+        return pairs
+    # Common pixels can't exceed the common box, so spans are only met by pairs whose boxes pass.
+    return span_intersections(pairs.drop("inter"), spans).select("a_id", "b_id", "a_area", "b_area", "inter").where("inter > 0").where(far)
 
 
 def duplicate_components(objects: DataFrame, **kw) -> DataFrame:

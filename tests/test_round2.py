@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanforge.llm import quality
+from spanforge.operators import components as C
 from spanforge.operators import points as P
+from spanforge.operators import reconcile as R
 from spanforge.operators import spatial_join as S
 from spanforge.plans.queries import r6
 
@@ -67,3 +69,29 @@ def test_cells_follow_the_boxes(spark):
     assert plan.count() == spark.sql("select count(*) from {t} a join {t} b on a.x0 < b.x1 and b.x0 < a.x1 and a.y0 < b.y1 and b.y0 < a.y1", t=few).first()[0]
     met = S.bucketed(few, "", S.cell_size(few)).groupBy("_cx", "_cy").count().agg(F.sum(F.col("count") * F.col("count"))).first()[0]
     assert met < 6 * plan.count()  # cells of 64 brought 2000 * 2000 pairs together
+
+
+def test_spans_are_met_by_pairs_that_may_be_duplicates(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    boxes = [(i, 0, int(x), int(y), int(x + w), int(y + h), int(w * h) - 3) for i, (x, y, w, h) in enumerate(np.column_stack([rng.integers(0, 25, (150, 2)), rng.integers(4, 9, (150, 2))]))]
+    o = spark.createDataFrame(boxes, "id long, tile_id long, x0 long, y0 long, x1 long, y1 long, area long")
+    holed = R.box_to_spans(o).withColumn("c0", F.when(F.col("row") == F.col("id") % 25, F.col("c0") + 1).otherwise(F.col("c0")))
+    met = []
+    kept = R.span_intersections
+    monkeypatch.setattr(R, "span_intersections", lambda pairs, spans: met.append(pairs.count()) or kept(pairs, spans))
+    got = {(r.a_id, r.b_id, r.inter) for r in R.duplicate_edges(o, spans=holed).collect()}
+    pairs = R.duplicate_pairs(o, holed).where("inter > 0").collect()
+    want = {(r.a_id, r.b_id, r.inter) for r in pairs if 10 * r.inter > 7 * (r.a_area + r.b_area - r.inter) or 100 * r.inter > 92 * min(r.a_area, r.b_area)}
+    assert got == want and 0 < len(want) <= met[0] < len(pairs) / 3
+
+
+def test_components_reduce_edges_in_their_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    ends = rng.integers(0, 3000, (20000, 2)) // 10 * 10 + rng.integers(0, 10, 20000)[:, None] % 7
+    edges = spark.createDataFrame([*map(tuple, ends.tolist()), (None, 5), (4001, 4000), (4002, 4001)], "a long, b long")
+    seen, kept = [], C.settle
+    monkeypatch.setattr(C, "settle", lambda e, a, b: seen.append(e.count()) or kept(e, a, b))
+    got = {r.node: r.component for r in C.connected_components(edges).collect()}
+    near = edges.where("a <> b").select("a", "b")
+    assert got == {r.node: r.component for r in kept(near, "a", "b").collect()}
+    assert got[4002] == 4000 and seen[0] < 4 * len(got)  # all 20 000 edges went through every round
