@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from spanforge.operators import spans as S
 from spanforge.operators.components import connected_components
-from spanforge.operators.spatial_join import box_intersection, overlap_join, span_intersections
+from spanforge.operators.spatial_join import box_intersection, cell_size, overlap_join, span_intersections
 from spanforge.session import cut
 
 RUN_CELL = 64
+SPAN_COPIES = 2.5  # cells of an object that brings its spans to each
 
 
 def box_to_spans(objects: DataFrame) -> DataFrame:
@@ -61,11 +62,14 @@ def duplicate_edges(objects: DataFrame, iou: float = 0.7, containment: float = 0
     """Pairs whose intersection over union, or over the smaller area, exceeds its threshold (strictly, in integers)."""
     union = F.col("a_area") + F.col("b_area") - F.col("inter")
     far = _over("inter", union, iou) | _over("inter", F.least("a_area", "b_area"), containment)
-    pairs = duplicate_pairs(objects).where("inter > 0").where(far)
     if spans is None:
-        return pairs
-    # Common pixels can't exceed the common box, so spans are only met by pairs whose boxes pass.
-    return span_intersections(pairs.drop("inter"), spans).select("a_id", "b_id", "a_area", "b_area", "inter").where("inter > 0").where(far)
+        return duplicate_pairs(objects).where("inter > 0").where(far)
+    # Objects bring their spans to the cells, so that none travel for a pair; as common pixels can't exceed the common box,
+    # spans are only compared by pairs whose boxes pass.
+    packed = objects.select("id", "area", "x0", "y0", "x1", "y1").join(S.pack_spans(spans), "id")
+    pairs = overlap_join(packed, packed, cell_size(objects, SPAN_COPIES)).where("a_id < b_id").withColumn("inter", box_intersection()).where("inter > 0").where(far)
+    exact = pairs.select("a_id", "b_id", "a_area", "b_area", S.common_pixels("a__spans", "b__spans").alias("inter"))
+    return exact.where("inter > 0").where(far)
 
 
 def duplicate_components(objects: DataFrame, **kw) -> DataFrame:

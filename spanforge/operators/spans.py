@@ -32,6 +32,25 @@ def collect_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
     return spans.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("row", "c0", "c1"))).alias("spans"))
 
 
+def pack_spans(spans: DataFrame) -> DataFrame:
+    """``(id, _spans)``: an object's spans as one array of numbers, three for each span, by row; compact in an exchange."""
+    every = F.array_sort(F.collect_list(F.struct("row", "c0", "c1")))
+    return spans.groupBy("id").agg(F.flatten(F.transform(every, lambda s: F.array(s["row"], s["c0"], s["c1"]))).alias("_spans"))
+
+
+def common_pixels(a: str, b: str) -> Column:
+    """Common pixels of two packed objects."""
+    starts = lambda v: F.sequence(F.lit(0), F.size(v) - 1, F.lit(3))
+    at = lambda v, i: F.get(F.col(v), i)
+
+    def overlap(i, j):
+        n = F.least(at(a, i + 2), at(b, j + 2)) - F.greatest(at(a, i + 1), at(b, j + 1))
+        return F.when((at(a, i) == at(b, j)) & (n > 0), n).otherwise(F.lit(0).cast("long"))
+
+    zero = F.lit(0).cast("long")
+    return F.aggregate(starts(a), zero, lambda t, i: t + F.aggregate(starts(b), zero, lambda u, j: u + overlap(i, j)))
+
+
 def labels_to_runs(pixels: DataFrame, keys: list[str]) -> DataFrame:
     """Runs of equal label from pixels ``(keys, row, col, label)``; label 0 is background."""
     w = Window.partitionBy(*keys, "row", "label").orderBy("col")

@@ -71,18 +71,17 @@ def test_cells_follow_the_boxes(spark):
     assert met < 6 * plan.count()  # cells of 64 brought 2000 * 2000 pairs together
 
 
-def test_spans_are_met_by_pairs_that_may_be_duplicates(spark, monkeypatch):
+def test_spans_do_not_travel_for_pairs(spark, monkeypatch):
     rng = np.random.default_rng(8)
     boxes = [(i, 0, int(x), int(y), int(x + w), int(y + h), int(w * h) - 3) for i, (x, y, w, h) in enumerate(np.column_stack([rng.integers(0, 25, (150, 2)), rng.integers(4, 9, (150, 2))]))]
     o = spark.createDataFrame(boxes, "id long, tile_id long, x0 long, y0 long, x1 long, y1 long, area long")
     holed = R.box_to_spans(o).withColumn("c0", F.when(F.col("row") == F.col("id") % 25, F.col("c0") + 1).otherwise(F.col("c0")))
-    met = []
-    kept = R.span_intersections
-    monkeypatch.setattr(R, "span_intersections", lambda pairs, spans: met.append(pairs.count()) or kept(pairs, spans))
+    monkeypatch.setattr(R, "span_intersections", None)  # a row for each span of each pair
     got = {(r.a_id, r.b_id, r.inter) for r in R.duplicate_edges(o, spans=holed).collect()}
+    monkeypatch.undo()
     pairs = R.duplicate_pairs(o, holed).where("inter > 0").collect()
     want = {(r.a_id, r.b_id, r.inter) for r in pairs if 10 * r.inter > 7 * (r.a_area + r.b_area - r.inter) or 100 * r.inter > 92 * min(r.a_area, r.b_area)}
-    assert got == want and 0 < len(want) <= met[0] < len(pairs) / 3
+    assert got == want and 0 < len(want) < len(pairs) / 3
 
 
 def test_components_reduce_edges_in_their_tasks(spark, monkeypatch):
