@@ -131,26 +131,17 @@ def resolve_mosaic(objects: DataFrame, dust: int = 0, spans: DataFrame | None =
 
     The sequential rule (largest first, subtract what is kept) as a fix-point: of objects whose remnant is too small,
     those without a doomed earlier neighbour are dropped for good, since all that they yield to is settled; ownership
-    is then taken anew, until none is doomed; every round drops one at least. With no dust nothing changes hands after the
-    first round, so nothing but its spans is cut.
+    is then taken anew, until none is doomed; every round drops one at least. Remnants only grow, so all pixels that ever
+    change hands are those that the first ownership gives to doomed objects: rounds are run on these pixels alone. With no
+    dust nothing changes hands.
     """
     if dust:
         spans, objects = cut(box_to_spans(objects) if spans is None else spans), cut(objects)
-    live = objects
-    while True:
-        runs = cut(ownership(live, spans.join(live.select("id"), "id", "left_semi") if dust else spans))
-        state = _remnants(live, runs)
-        if not dust:
-            break
+    runs = cut(ownership(objects, spans))
+    state = _remnants(objects, runs)
+    if dust:
         state = cut(state)
-        doomed = state.where(F.col("remnant") <= dust)
-        if not doomed.limit(1).count():
-            break
-        pairs = overlap_join(doomed.select("id", "area", "tile_id", "x0", "y0", "x1", "y1"), doomed.select("id", "area", "tile_id", "x0", "y0", "x1", "y1"))
-        later = F.struct((-F.col("a_area")).alias("a"), F.col("a_tile_id").alias("t"), F.col("a_id").alias("i")) > F.struct((-F.col("b_area")).alias("a"), F.col("b_tile_id").alias("t"), F.col("b_id").alias("i"))
-        waits = pairs.where(later).select(F.col("a_id").alias("id")).distinct()
-        dropped = doomed.join(waits, "id", "left_anti").select("id")
-        live = cut(live.join(dropped, "id", "left_anti"))
+        state, runs = _settle_dust(objects, spans, state, runs, dust)
     kept, kept_runs = state.where(F.col("remnant") > dust), runs  # whoever is left out owns no pixel by now
     gone = objects.join(kept.select("id"), "id", "left_anti").select(
         F.lit("mosaic_dropped").alias("phase"), "tile_id", "id", F.col("area").alias("original_area"), F.col("area").alias("removed_area"))
@@ -159,6 +150,37 @@ def resolve_mosaic(objects: DataFrame, dust: int = 0, spans: DataFrame | None =
     return kept, kept_runs, gone.unionByName(clipped)
 
 
+def _settle_dust(objects: DataFrame, spans: DataFrame, state: DataFrame, runs: DataFrame, dust: int) -> tuple[DataFrame, DataFrame]:
+    """(objects with their final remnants, owned runs) after all that fall short are dropped."""
+    doomed = cut(state.where(F.col("remnant") <= dust).drop("remnant"))
+    if not doomed.limit(1).count():
+        return state, runs
+    sure = state.join(doomed.select("id"), "id", "left_anti")
+    contested = runs.join(doomed.select("id"), "id", "left_semi").select("row", F.col("c0").alias("_b0"), F.col("c1").alias("_b1"))
+    in_cells = lambda df, s, e: df.select("*", F.explode(F.sequence(F.floor(F.col(s) / RUN_CELL), F.floor((F.col(e) - 1) / RUN_CELL))).alias("_cell"))
+    met = in_cells(spans.where("c1 > c0"), "c0", "c1").join(in_cells(contested, "_b0", "_b1"), ["row", "_cell"]).where("c0 < _b1 and _b0 < c1")
+    met = met.where(F.floor(F.greatest("c0", "_b0") / RUN_CELL) == F.col("_cell"))
+    pieces = cut(met.select("id", "row", F.greatest("c0", "_b0").alias("c0"), F.least("c1", "_b1").alias("c1")))
+    slim = doomed.select("id", "area", "tile_id", "x0", "y0", "x1", "y1")
+    later = F.struct((-F.col("a_area")).alias("a"), F.col("a_tile_id").alias("t"), F.col("a_id").alias("i")) > F.struct((-F.col("b_area")).alias("a"), F.col("b_tile_id").alias("t"), F.col("b_id").alias("i"))
+    pairs = cut(overlap_join(slim, slim).where(later).select("a_id", "b_id"))
+    live = doomed
+    while True:
+        gained = cut(ownership(objects, pieces))
+        left = gained.groupBy("id").agg(F.sum(F.col("c1") - F.col("c0")).alias("_gained"))
+        short = cut(live.select("id").join(left, "id", "left").where(F.coalesce("_gained", F.lit(0)) <= dust).select("id"))
+        if not short.limit(1).count():
+            break
+        pairs = cut(pairs.join(short.withColumnRenamed("id", "a_id"), "a_id", "left_semi").join(short.withColumnRenamed("id", "b_id"), "b_id", "left_semi"))
+        dropped = cut(short.join(pairs.select(F.col("a_id").alias("id")), "id", "left_anti"))
+        pieces = cut(pieces.join(dropped, "id", "left_anti"))
+        live = cut(live.join(dropped, "id", "left_anti"))
+    left = cut(left)
+    whole = sure.unionByName(live.withColumn("remnant", F.lit(0).cast("long")))
+    whole = whole.join(left, "id", "left").withColumn("remnant", F.col("remnant") + F.coalesce("_gained", F.lit(0).cast("long"))).drop("_gained")
+    return cut(whole), cut(S.union_spans(runs.join(doomed.select("id"), "id", "left_anti").unionByName(gained.select(*runs.columns)), ["id"]))
+
+
 def run_summary(crowns: DataFrame, image: tuple[int, int], pixel: float) -> DataFrame:
     """``n_crowns, pct_cover, density_km2, mean_area_m2`` of a run over ``image`` pixels of ``pixel`` metres."""
     km2 = image[0] * pixel / 1000 * (image[1] * pixel / 1000)

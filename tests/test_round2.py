@@ -11,6 +11,7 @@ from spanforge.operators import points as P
 from spanforge.operators import reconcile as R
 from spanforge.operators import spatial_join as S
 from spanforge.plans.queries import r6
+from tests.test_operators import greedy
 
 
 def test_rounding_of_ties_equals_sql(spark):
@@ -94,3 +95,17 @@ def test_components_reduce_edges_in_their_tasks(spark, monkeypatch):
     near = edges.where("a <> b").select("a", "b")
     assert got == {r.node: r.component for r in kept(near, "a", "b").collect()}
     assert got[4002] == 4000 and seen[0] < 4 * len(got)  # all 20 000 edges went through every round
+
+
+def test_dust_rounds_take_contested_pixels_only(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    boxes = [(i, 0, int(x), int(y), int(x + w), int(y + h), int(w * h)) for i, (x, y, w, h) in enumerate(np.column_stack([rng.integers(0, 120, (600, 2)), rng.integers(3, 11, (600, 2))]))]
+    o = spark.createDataFrame(boxes, "id long, tile_id long, x0 long, y0 long, x1 long, y1 long, area long")
+    taken, kept = [], R.ownership
+    monkeypatch.setattr(R, "ownership", lambda objects, spans=None, **kw: taken.append(spans.agg(F.sum(F.col("c1") - F.col("c0"))).first()[0]) or kept(objects, spans, **kw))
+    got, runs, _ = R.resolve_mosaic(o, 6)
+    assert len(taken) > 2 and max(taken[1:]) < taken[0] / 3  # every round took all pixels anew
+    want = greedy([b[:6] for b in boxes], 6)
+    assert {r.id: r.remnant for r in got.collect()} == want
+    pixels = [(r.row, c) for r in runs.collect() for c in range(r.c0, r.c1)]
+    assert len(pixels) == len(set(pixels)) == sum(want.values())
