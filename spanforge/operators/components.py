@@ -11,9 +11,10 @@ from spanforge.session import cut
 
 HELD_EDGES = 2_000_000  # edges that a task holds before it replaces them by trees
 ROWS_OUT = 100_000
+TREES = "node long, root long"
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def roots_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest index linked to each of ``n`` indexes."""
     root = np.arange(n)
     while len(a):
@@ -27,7 +28,7 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def _trees(batches):
+def trees_of(batches):
     """Edges ``(u, v)`` of a task as pairs of node and smallest node linked to it in the task; held edges are replaced by
     their trees whenever they number many."""
     held, many = [], HELD_EDGES
@@ -36,7 +37,7 @@ def _trees(batches):
         ends = np.concatenate(held) if held else np.zeros((0, 2), "int64")
         nodes, at = np.unique(ends, return_inverse=True)
         at = at.reshape(-1, 2)
-        return np.column_stack([nodes, nodes[_roots(len(nodes), at[:, 0], at[:, 1])]])
+        return np.column_stack([nodes, nodes[roots_of(len(nodes), at[:, 0], at[:, 1])]])
 
     n = 0
     for batch in batches:
@@ -55,11 +56,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """``(node, component)`` for every node on an edge; component is the smallest node reachable.
 
     Each task replaces its edges by trees, so that an edge list of any length shrinks to a row per node and task. Nodes of
-    several tasks link the trees' roots; only that graph of roots is settled in rounds, then every node takes the
-    component of one of its roots. Null ends and self loops are ignored.
+    several tasks link the trees' roots; only that graph of roots is settled, then every node takes the component of one
+    of its roots. Null ends and self loops are ignored.
     """
     e = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u is not null and v is not null and u <> v")
-    trees = cut(e.mapInArrow(_trees, "node long, root long"))
+    return joined_trees(e.mapInArrow(trees_of, TREES))
+
+
+def joined_trees(trees: DataFrame) -> DataFrame:
+    """``(node, component)`` of the nodes of all tasks' trees ``(node, root)``."""
+    trees = cut(trees)
     first = cut(trees.groupBy("node").agg(F.min("root").alias("first")))
     links = trees.join(first, "node").where("root <> first").select("root", "first").distinct()
     found = settle(links, "root", "first").select(F.col("node").alias("_root"), F.col("component").alias("_c"))
@@ -67,14 +73,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
 
 def settle(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``(node, component)`` by rounds over the edge list.
+    """``(node, component)`` of an edge list, in one task where it has at most HELD_EDGES edges, else by rounds over it.
 
     Each round offers the smallest label among a node's neighbours to the node and to the node that its own label names,
     so whole trees hook onto each other, and then jumps to the label's own label. Rounds go on until nothing changes;
     labels only fall, so they end. Labels are cut to the shared checkpoint folder each round; only a count of changed
     labels reaches the driver.
     """
-    e = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
+    e = cut(edges.select(F.col(a).alias("u"), F.col(b).alias("v")))
+    if e.count() <= HELD_EDGES:
+        return e.repartition(1).mapInArrow(trees_of, TREES).withColumnRenamed("root", "component")
     e = cut(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = cut(e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("component")))
     while True:

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanforge.operators import spans as S
-from spanforge.operators.components import connected_components
+from spanforge.operators.box_links import box_links, box_links_side
+from spanforge.operators.components import connected_components, joined_trees
 from spanforge.operators.spatial_join import box_intersection, cell_size, overlap_join, span_intersections
-from spanforge.session import cut
+from spanforge.session import cut, laid_down
 
 RUN_CELL = 64
 SPAN_COPIES = 2.5  # cells of an object that brings its spans to each
@@ -72,9 +73,13 @@ def duplicate_edges(objects: DataFrame, iou: float = 0.7, containment: float = 0
     return exact.where("inter > 0").where(far)
 
 
-def duplicate_components(objects: DataFrame, **kw) -> DataFrame:
+def duplicate_components(objects: DataFrame, iou: float = 0.7, containment: float = 0.92, spans: DataFrame | None = None) -> DataFrame:
     """Every object with the component of its duplicates, named by the smallest id."""
-    found = connected_components(duplicate_edges(objects, **kw), "a_id", "b_id")
+    side = box_links_side(objects) if spans is None and min(iou, containment) >= 0.5 else None
+    if side is None:
+        found = connected_components(duplicate_edges(objects, iou, containment, spans), "a_id", "b_id")
+    else:
+        found = joined_trees(box_links(objects, side, iou, containment))
     return objects.join(found, objects["id"] == found["node"], "left").drop("node").withColumn("component", F.coalesce("component", "id"))
 
 
@@ -84,11 +89,11 @@ def merge_duplicates(objects: DataFrame, iou: float = 0.7, containment: float =
     The anchor is a component's largest member; its attributes stay, the geometry is the union of all members, and
     area and box are recomputed from it.
     """
-    members = cut(duplicate_components(objects, iou=iou, containment=containment, spans=spans))
-    spans = box_to_spans(objects) if spans is None else spans
+    members = laid_down(duplicate_components(objects, iou=iou, containment=containment, spans=spans))
     order = F.struct((-F.col("area")).alias("a"), "tile_id", "id")
     anchors = members.groupBy("component").agg(F.min_by("id", order).alias("anchor"), F.count("*").alias("n_members"))
     owned = members.join(anchors, "component")
+    spans = box_to_spans(objects) if spans is None else spans
     merged_spans = S.union_spans(spans.join(owned.select("id", "anchor"), "id").select(F.col("anchor").alias("id"), "row", "c0", "c1"), ["id"])
     shape = S.measures(merged_spans, ["id"]).withColumnRenamed("area_px", "area")
     merged = owned.where("id = anchor").drop("area", "x0", "y0", "x1", "y1", "anchor", "component").join(shape, "id")
@@ -234,7 +239,7 @@ def reconcile(objects: DataFrame, tiles: DataFrame, shift: int = 6, iou: float =
     if spans is not None:
         shape = spans.groupBy("id").agg(F.xxhash64(F.array_sort(F.collect_list(F.struct("row", "c0", "c1")))).alias("_shape"))
         within, geometry = within.join(shape, "id"), [*geometry, "_shape"]
-    stitched = cut(drop_exact_copies(within, geometry).drop("_shape"))
+    stitched = laid_down(drop_exact_copies(within, geometry).drop("_shape"))
     merged, spans, culled = merge_duplicates(stitched, iou, containment, None if spans is None else spans.join(stitched.select("id"), "id", "left_semi"))
     merged = cut(merged.select("id", "tile_id", "area", "x0", "y0", "x1", "y1"))
     kept, runs, lost = resolve_mosaic(merged, dust, spans)
@@ -245,7 +250,7 @@ def reconcile(objects: DataFrame, tiles: DataFrame, shift: int = 6, iou: float =
 def clean(objects: DataFrame, area_threshold: int = 0, **kw) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Without tiles: area floor, merge, mosaic."""
     big = objects.where(F.col("area") > area_threshold) if area_threshold > 0 else objects
-    merged, spans, culled = merge_duplicates(cut(big), kw.get("iou", 0.7), kw.get("containment", 0.92))
+    merged, spans, culled = merge_duplicates(big, kw.get("iou", 0.7), kw.get("containment", 0.92))
     kept, runs, lost = resolve_mosaic(cut(merged.select("id", "tile_id", "area", "x0", "y0", "x1", "y1")), kw.get("dust", 0), spans)
     return kept, runs, culled.unionByName(lost, allowMissingColumns=True)
 
@@ -266,7 +271,7 @@ def run_chunked(objects: DataFrame, tiles: DataFrame, bounds: tuple[int, int, in
     band = int(maxy - miny) + 4 * int(size)
     # Ordered like the ids within a chunk, so that ties between equal areas fall as they do without chunks.
     names = F.when(F.col("id").between(0, (1 << 40) - 1), F.col("chunk_id") * (1 << 40) + F.col("id")).otherwise(F.raise_error(F.lit("ids lie between 0 and 2**40")).cast("long"))
-    apart = cut(dealt.withColumn("_source", F.col("id")).withColumn("id", names).withColumn("y0", F.col("y0") + F.col("chunk_id") * band).withColumn("y1", F.col("y1") + F.col("chunk_id") * band))
+    apart = laid_down(dealt.withColumn("_source", F.col("id")).withColumn("id", names).withColumn("y0", F.col("y0") + F.col("chunk_id") * band).withColumn("y1", F.col("y1") + F.col("chunk_id") * band))
     kept, runs, _ = clean(apart.select("id", "tile_id", "x0", "y0", "x1", "y1", "area"), **{k: v for k, v in kw.items() if k in ("iou", "containment", "dust")})
     shape = S.measures(runs, ["id"]).join(kept.select("id", F.col("area").alias("area")), "id").join(apart.select("id", "chunk_id", "_source"), "id")
     back = shape.withColumn("centroid_y", F.col("centroid_y") - F.col("chunk_id") * band).withColumn("y0", F.col("y0") - F.col("chunk_id") * band).withColumn("y1", F.col("y1") - F.col("chunk_id") * band)

@@ -21,9 +21,17 @@ def cell_size(boxes: DataFrame, copies: float = COPIES) -> float:
     Of boxes about as large as the cell few pairs meet in vain; larger cells make the pairs of a dense area explode, smaller
     ones the rows. Few very large boxes enlarge it, so the rows stay bounded whatever the extents.
     """
+    row = boxes.agg(*extents()).first()
+    return cell_for(row["wh"] or 0.0, row["s"] or 0.0, copies)
+
+
+def extents() -> tuple[Column, Column]:
     w, h = (F.greatest(F.col(f"{a}1") - F.col(f"{a}0"), F.lit(0)).cast("double") for a in "xy")
-    row = boxes.agg(F.avg(w * h).alias("wh"), F.avg(w + h).alias("s")).first()
-    wh, s = row["wh"] or 0.0, row["s"] or 0.0
+    return F.avg(w * h).alias("wh"), F.avg(w + h).alias("s")
+
+
+def cell_for(wh: float, s: float, copies: float) -> float:
+    """The cell that boxes of mean area ``wh`` and mean half perimeter ``s`` touch ``copies`` of."""
     # wh / c^2 + s / c + 1 = copies
     return float(max(1, math.ceil((s + math.sqrt(s * s + 4 * wh * (copies - 1))) / (2 * (copies - 1)))))
 
