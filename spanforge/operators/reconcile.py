@@ -17,6 +17,7 @@ from spanforge.operators.components import connected_components, joined_trees
 from spanforge.operators.spatial_join import box_intersection, cell_size, overlap_join, span_intersections
 from spanforge.session import cut, laid_down
 
+BOX = ["x0", "y0", "x1", "y1"]
 RUN_CELL = 64
 SPAN_COPIES = 2.5  # cells of an object that brings its spans to each
 
@@ -93,8 +94,12 @@ def merge_duplicates(objects: DataFrame, iou: float = 0.7, containment: float =
     order = F.struct((-F.col("area")).alias("a"), "tile_id", "id")
     anchors = members.groupBy("component").agg(F.min_by("id", order).alias("anchor"), F.count("*").alias("n_members"))
     owned = members.join(anchors, "component")
-    spans = box_to_spans(objects) if spans is None else spans
-    merged_spans = S.union_spans(spans.join(owned.select("id", "anchor"), "id").select(F.col("anchor").alias("id"), "row", "c0", "c1"), ["id"])
+    if spans is None:
+        alone = box_to_spans(owned.where("n_members = 1"))
+        merged_spans = alone.unionByName(S.union_boxes(owned.where("n_members > 1").select(F.col("anchor").alias("id"), *BOX)))
+    else:
+        boxes = spans.join(owned.select("id", "anchor"), "id").select(F.col("anchor").alias("id"), F.col("c0").alias("x0"), F.col("row").alias("y0"), F.col("c1").alias("x1"), (F.col("row") + 1).alias("y1"))
+        merged_spans = S.union_boxes(boxes)
     shape = S.measures(merged_spans, ["id"]).withColumnRenamed("area_px", "area")
     merged = owned.where("id = anchor").drop("area", "x0", "y0", "x1", "y1", "anchor", "component").join(shape, "id")
     culled = owned.where("id <> anchor").select(

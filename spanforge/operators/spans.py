@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPAN = "array<struct<row:bigint,c0:bigint,c1:bigint>>"
+BAND = 64  # rows of a group of boxes
+CHUNK_BOXES = 1 << 15
+ROWS_OUT = 100_000
 
 
 def box_spans(x0="x0", y0="y0", x1="x1", y1="y1") -> Column:
@@ -28,6 +35,66 @@ def union_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
     return islands.groupBy(*keys, "row", "_island").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1")).drop("_island")
 
 
+def union_boxes(boxes: DataFrame) -> DataFrame:
+    """Disjoint spans ``(id, row, c0, c1)`` of the union of the boxes of equal ``id``, touching ones merged.
+
+    Boxes, not their spans, go to one group for each id and band of rows; there they are read from left to right, so a
+    task holds a chunk of boxes and one open span for each row of a band, however many boxes an id has.
+    """
+    slim = boxes.select("id", *[F.col(c).cast("long").alias(c) for c in ("x0", "y0", "x1", "y1")]).where("x1 > x0 and y1 > y0")
+    band = F.explode(F.sequence(F.floor(F.col("y0") / BAND).cast("long"), F.floor((F.col("y1") - 1) / BAND).cast("long"))).alias("_band")
+    dealt = slim.select("*", band).select("id", "_band", "x0", F.greatest("y0", F.col("_band") * BAND).alias("y0"), "x1", F.least("y1", (F.col("_band") + 1) * BAND).alias("y1"))
+    kind = boxes.schema["id"].dataType.simpleString()
+    return dealt.repartition("id", "_band").sortWithinPartitions("id", "_band", "x0").mapInArrow(_union, f"id {kind}, row long, c0 long, c1 long")
+
+
+def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, n, still = [], 0, None  # ``still``: the last group's open spans as (row, c0, c1)
+
+    def islands(last: bool):
+        nonlocal still
+        ids = pa.concat_arrays([b.column(0) for b in held])
+        band, x0, y0, x1, y1 = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in held]) for i in range(1, 6))
+        code = ids.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        group = np.cumsum(np.r_[0, (code[1:] != code[:-1]) | (band[1:] != band[:-1])])
+        place = np.repeat(np.arange(len(group)), y1 - y0)
+        row = np.arange(len(place)) - np.repeat(np.cumsum(y1 - y0) - (y1 - y0), y1 - y0) + y0[place]
+        c0, c1 = x0[place], x1[place]
+        if still is not None:
+            place = np.concatenate([np.zeros(len(still[0]), place.dtype), place])
+            row, c0, c1 = (np.concatenate(v) for v in zip(still, (row, c0, c1), strict=True))
+        line = group[place] * BAND + row % BAND
+        order = np.argsort(line, kind="stable")  # left to right within a line, as boxes came
+        place, row, c0, c1, line = (v[order] for v in (place, row, c0, c1, line))
+        fresh = np.r_[True, line[1:] != line[:-1]]
+        base, wide = c0.min(), int(c1.max()) - int(c0.min()) + 1
+        lift = (np.cumsum(fresh) - 1) * wide - base  # ends of a line lie above all ends of the lines before it
+        far = np.maximum.accumulate(c1 + lift)
+        start = np.flatnonzero(fresh | np.r_[True, (c0 + lift)[1:] > far[:-1]])
+        end = np.r_[start[1:], len(far)] - 1
+        place, row, c0, c1 = place[start], row[start], c0[start], (far - lift)[end]
+        if not last:
+            open_ = (group[place] == group[-1]) & np.r_[line[start][1:] != line[start][:-1], True]
+            still = row[open_], c0[open_], c1[open_]
+            place, row, c0, c1 = (v[~open_] for v in (place, row, c0, c1))
+        return [pa.RecordBatch.from_arrays([ids.take(pa.array(place[i : i + ROWS_OUT])), *[pa.array(v[i : i + ROWS_OUT]) for v in (row, c0, c1)]], names=["id", "row", "c0", "c1"]) for i in range(0, len(place), ROWS_OUT)]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if n >= CHUNK_BOXES:
+            # Spans stay open beyond a chunk's end only if its last group goes on.
+            tail = held[-1].slice(held[-1].num_rows - 1)
+            goes_on = tail.column(0)[0] == batch.column(0)[0] and tail.column(1)[0] == batch.column(1)[0]
+            yield from islands(not goes_on)
+            still = still if goes_on else None
+            held, n = [], 0
+        held.append(batch)
+        n += batch.num_rows
+    if held:
+        yield from islands(True)
+
+
 def collect_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
     return spans.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("row", "c0", "c1"))).alias("spans"))
 

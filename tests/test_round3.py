@@ -1,11 +1,15 @@
 """Cases of the third review."""
 
+from fractions import Fraction
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spanforge.operators import box_links as L
 from spanforge.operators import components as C
 from spanforge.operators import reconcile as R
+from spanforge.operators import spans as S
 
 KIND = "id long, tile_id long, x0 long, y0 long, x1 long, y1 long, area long"
 
@@ -16,8 +20,8 @@ def boxes(seed, n, span, low, high):
     return [(i * 11 % n, i % 3, int(x), int(y), int(x + w), int(y + h), int(w * h)) for i, (x, y, w, h) in enumerate(made)]
 
 
-@pytest.mark.parametrize("chunk, side", [(1 << 16, None), (40, 5), (700, 1000)])
-def test_components_without_a_list_of_pairs(spark, monkeypatch, chunk, side):
+@pytest.mark.parametrize("side", [None, 5, 1000])
+def test_components_without_a_list_of_pairs(spark, monkeypatch, side):
     o = spark.createDataFrame(boxes(5, 700, 40, 2, 16) + [(9001, 0, 500, 500, 501, 501, 1)], KIND)
     want = {r.node: r.component for r in C.connected_components(R.duplicate_edges(o), "a_id", "b_id").collect()}
     found = C.joined_trees(L.box_links(o, side or L.box_links_side(o), 0.7, 0.92))
@@ -45,3 +49,36 @@ def test_small_graphs_settle_in_one_task(spark, monkeypatch):
     taken, kept = [], C.cut
     monkeypatch.setattr(C, "cut", lambda df: taken.append(1) or kept(df))
     assert {r.node: r.component for r in C.settle(edges, "a", "b").collect()} == by_rounds and len(taken) == 1
+
+
+def test_union_of_boxes_sends_no_spans(spark):
+    rows = [(i % 5, *r[2:6]) for i, r in enumerate(boxes(7, 200, 30, 1, 12))] + [(7, 4, 4, 4, 9), (8, 0, -70, 3, 70), (8, 3, -70, 5, 70)]
+    o = spark.createDataFrame(rows, "id long, x0 long, y0 long, x1 long, y1 long")
+    spans = S.explode_spans(o.select("id", S.box_spans().alias("spans")))
+    want = sorted(map(tuple, S.union_spans(spans, ["id"]).select("id", "row", "c0", "c1").collect()))
+    assert sorted(map(tuple, S.union_boxes(o).collect())) == want and (8, 69, 0, 5) in want
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 40])
+def test_chunks_change_nothing(monkeypatch, chunk):
+    found = boxes(8, 200, 30, 1, 14)
+    batches = lambda rows: (pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 9], strict=True)], names=list("abcdefg")[: len(rows[0])]) for i in range(0, len(rows), 9))
+    taken = lambda made: sorted(r for b in made for r in zip(*[c.to_pylist() for c in b.columns], strict=True))
+    banded = sorted((i % 4, b, x0, max(y0, b * S.BAND), x1, min(y1, (b + 1) * S.BAND)) for i, _, x0, y0, x1, y1, _ in found for b in range(y0 // S.BAND, (y1 - 1) // S.BAND + 1))
+    celled = sorted((cx, cy, i, x0, y0, x1, y1) for i, _, x0, y0, x1, y1, _ in found for cx in range(x0 // 9, (x1 - 1) // 9 + 1) for cy in range(y0 // 9, (y1 - 1) // 9 + 1))
+    limits = Fraction("0.7"), Fraction("0.92")
+    whole = taken(S._union(batches(banded))), taken(L._found(batches(celled), 9, *limits))
+    monkeypatch.setattr(S, "CHUNK_BOXES", chunk)
+    monkeypatch.setattr(L, "CHUNK_ROWS", chunk)
+    monkeypatch.setattr(L, "CANDIDATES", chunk)
+    assert (taken(S._union(batches(banded))), taken(L._found(batches(celled), 9, *limits))) == whole and all(whole)
+
+
+def test_merged_shapes_send_no_spans(spark, monkeypatch):
+    o = spark.createDataFrame(boxes(5, 700, 40, 2, 16), KIND)
+    spans = R.box_to_spans(o)
+    merged, runs, culled = R.merge_duplicates(o, spans=spans)
+    key = lambda df: sorted(map(tuple, df.select(sorted(df.columns)).collect()))
+    want = key(merged), key(runs), key(culled)
+    monkeypatch.setattr(S, "union_spans", None)  # sorted a row for each pixel row of each member
+    assert tuple(map(key, R.merge_duplicates(o))) == want
