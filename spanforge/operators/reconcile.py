@@ -84,11 +84,12 @@ def duplicate_components(objects: DataFrame, iou: float = 0.7, containment: floa
     return objects.join(found, objects["id"] == found["node"], "left").drop("node").withColumn("component", F.coalesce("component", "id"))
 
 
-def merge_duplicates(objects: DataFrame, iou: float = 0.7, containment: float = 0.92, spans: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def merge_duplicates(objects: DataFrame, iou: float = 0.7, containment: float = 0.92, spans: DataFrame | None = None, reread: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(merged objects, their spans, culled members).
 
     The anchor is a component's largest member; its attributes stay, the geometry is the union of all members, and
-    area and box are recomputed from it.
+    area and box are recomputed from it. ``reread``: the spans are laid down, so that they are not merged anew by those
+    who read them besides the objects.
     """
     members = laid_down(duplicate_components(objects, iou=iou, containment=containment, spans=spans))
     order = F.struct((-F.col("area")).alias("a"), "tile_id", "id")
@@ -100,6 +101,7 @@ def merge_duplicates(objects: DataFrame, iou: float = 0.7, containment: float =
     else:
         boxes = spans.join(owned.select("id", "anchor"), "id").select(F.col("anchor").alias("id"), F.col("c0").alias("x0"), F.col("row").alias("y0"), F.col("c1").alias("x1"), (F.col("row") + 1).alias("y1"))
         merged_spans = S.union_boxes(boxes)
+    merged_spans = laid_down(merged_spans) if reread else merged_spans
     shape = S.measures(merged_spans, ["id"]).withColumnRenamed("area_px", "area")
     merged = owned.where("id = anchor").drop("area", "x0", "y0", "x1", "y1", "anchor", "component").join(shape, "id")
     culled = owned.where("id <> anchor").select(
@@ -245,7 +247,7 @@ def reconcile(objects: DataFrame, tiles: DataFrame, shift: int = 6, iou: float =
         shape = spans.groupBy("id").agg(F.xxhash64(F.array_sort(F.collect_list(F.struct("row", "c0", "c1")))).alias("_shape"))
         within, geometry = within.join(shape, "id"), [*geometry, "_shape"]
     stitched = laid_down(drop_exact_copies(within, geometry).drop("_shape"))
-    merged, spans, culled = merge_duplicates(stitched, iou, containment, None if spans is None else spans.join(stitched.select("id"), "id", "left_semi"))
+    merged, spans, culled = merge_duplicates(stitched, iou, containment, None if spans is None else spans.join(stitched.select("id"), "id", "left_semi"), reread=True)
     merged = cut(merged.select("id", "tile_id", "area", "x0", "y0", "x1", "y1"))
     kept, runs, lost = resolve_mosaic(merged, dust, spans)
     crowns = S.measures(runs, ["id"]).join(kept.select("id", "tile_id", F.col("area").alias("merged_area")), "id")
@@ -255,7 +257,7 @@ def reconcile(objects: DataFrame, tiles: DataFrame, shift: int = 6, iou: float =
 def clean(objects: DataFrame, area_threshold: int = 0, **kw) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Without tiles: area floor, merge, mosaic."""
     big = objects.where(F.col("area") > area_threshold) if area_threshold > 0 else objects
-    merged, spans, culled = merge_duplicates(big, kw.get("iou", 0.7), kw.get("containment", 0.92))
+    merged, spans, culled = merge_duplicates(big, kw.get("iou", 0.7), kw.get("containment", 0.92), reread=True)
     kept, runs, lost = resolve_mosaic(cut(merged.select("id", "tile_id", "area", "x0", "y0", "x1", "y1")), kw.get("dust", 0), spans)
     return kept, runs, culled.unionByName(lost, allowMissingColumns=True)
 

@@ -82,3 +82,17 @@ def test_merged_shapes_send_no_spans(spark, monkeypatch):
     want = key(merged), key(runs), key(culled)
     monkeypatch.setattr(S, "union_spans", None)  # sorted a row for each pixel row of each member
     assert tuple(map(key, R.merge_duplicates(o))) == want
+
+
+def test_merged_spans_are_laid_down_once(spark, monkeypatch):
+    rows = [(r[0], 0, r[2] + 50, r[3] + 50, r[4] + 50, r[5] + 50, r[6]) for r in boxes(9, 500, 40, 2, 14)]
+    o = spark.createDataFrame(rows, KIND)
+    tiles = spark.createDataFrame([(0, 0, 0, 110, 110, True, True, True, True)], "tile_id long, tx0 long, ty0 long, tx1 long, ty1 long, edge_w boolean, edge_e boolean, edge_n boolean, edge_s boolean")
+    laid, kept = [], R.laid_down
+    monkeypatch.setattr(R, "laid_down", lambda df: laid.append(df.columns) or kept(df))
+    key = lambda df: sorted(map(tuple, df.select(sorted(df.columns)).collect()))
+    want = [key(df) for df in R.reconcile(o, tiles, spans=R.box_to_spans(o))]
+    assert [key(df) for df in R.reconcile(o, tiles)] == want and all(want)
+    whole = R.run_chunked(o, tiles, (0, 0, 110, 110), size=110, buffer=10)
+    assert {(r.id, r.area_px) for r in whole.collect()} == {(r.id, r.area_px) for r in R.reconcile(o, tiles)[0].collect()}
+    assert laid.count(["id", "row", "c0", "c1"]) == 4  # each reader of the objects and of the spans merged them anew
