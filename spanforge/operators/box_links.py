@@ -50,6 +50,12 @@ def box_links(objects: DataFrame, side: int, iou: float, containment: float) ->
 
 def _found(batches: Iterator[pa.RecordBatch], side: int, iou: Fraction, containment: Fraction) -> Iterator[pa.RecordBatch]:
     """Links of the rows ``(cell, cell, id, box)``, which come cell by cell."""
+    for rows in whole_cells(batches):
+        yield from _linked(rows, side, iou, containment)
+
+
+def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The columns of rows ``(cell, cell, ...)``, which come cell by cell, of some whole cells at a time."""
     held: list[np.ndarray] = []
     n, many = 0, CHUNK_ROWS
     for b in batches:
@@ -61,11 +67,11 @@ def _found(batches: Iterator[pa.RecordBatch], side: int, iou: Fraction, containm
         same = (rows[0] == rows[0, -1]) & (rows[1] == rows[1, -1])
         whole = int(np.argmax(same))  # the last cell may go on in the next batch
         if whole:
-            yield from _linked(rows[:, :whole], side, iou, containment)
+            yield rows[:, :whole]
         held, n = [rows[:, whole:]], rows.shape[1] - whole
         many = max(CHUNK_ROWS, 2 * n)
     if n:
-        yield from _linked(np.concatenate(held, axis=1), side, iou, containment)
+        yield np.concatenate(held, axis=1)
 
 
 def _linked(rows: np.ndarray, side: int, iou: Fraction, containment: Fraction) -> Iterator[pa.RecordBatch]:

@@ -10,9 +10,11 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from spanforge.operators import spans as S
 from spanforge.operators.box_links import box_links, box_links_side
+from spanforge.operators.box_merge import merge_boxes
 from spanforge.operators.components import connected_components, joined_trees
 from spanforge.operators.spatial_join import box_intersection, cell_size, overlap_join, span_intersections
 from spanforge.session import cut, laid_down
@@ -20,6 +22,8 @@ from spanforge.session import cut, laid_down
 BOX = ["x0", "y0", "x1", "y1"]
 RUN_CELL = 64
 SPAN_COPIES = 2.5  # cells of an object that brings its spans to each
+SOURCE_BITS = 40  # of an id within a chunk; the chunk takes the bits above
+SOURCES = 1 << SOURCE_BITS
 
 
 def box_to_spans(objects: DataFrame) -> DataFrame:
@@ -273,14 +277,25 @@ def run_chunked(objects: DataFrame, tiles: DataFrame, bounds: tuple[int, int, in
     spark = objects.sparkSession
     minx, miny, maxx, maxy = bounds
     chunks = chunk_grid(spark, minx, miny, maxx, maxy, size, buffer)
-    stitched = drop_exact_copies(stitch(objects, tiles, kw.get("shift", 6)), ["x0", "y0", "x1", "y1"])
-    dealt = assign_chunks(stitched, minx, miny, maxx, maxy, size, buffer)
+    stitched = laid_down(stitch(objects, tiles, kw.get("shift", 6)).select("id", "tile_id", *BOX, "area"))
+    iou, containment, dust = kw.get("iou", 0.7), kw.get("containment", 0.92), kw.get("dust", 0)
+    numbered = isinstance(stitched.schema["tile_id"].dataType, IntegralType)
+    side = box_links_side(stitched) if numbered and 0.5 <= min(iou, containment) < 1 else None
+    # Below 1 exact copies are duplicates of each other, so they fall to the same anchor without being dropped before.
+    dealt = assign_chunks(stitched if side else drop_exact_copies(stitched, BOX), minx, miny, maxx, maxy, size, buffer)
     band = int(maxy - miny) + 4 * int(size)
     # Ordered like the ids within a chunk, so that ties between equal areas fall as they do without chunks.
-    names = F.when(F.col("id").between(0, (1 << 40) - 1), F.col("chunk_id") * (1 << 40) + F.col("id")).otherwise(F.raise_error(F.lit("ids lie between 0 and 2**40")).cast("long"))
-    apart = laid_down(dealt.withColumn("_source", F.col("id")).withColumn("id", names).withColumn("y0", F.col("y0") + F.col("chunk_id") * band).withColumn("y1", F.col("y1") + F.col("chunk_id") * band))
-    kept, runs, _ = clean(apart.select("id", "tile_id", "x0", "y0", "x1", "y1", "area"), **{k: v for k, v in kw.items() if k in ("iou", "containment", "dust")})
-    shape = S.measures(runs, ["id"]).join(kept.select("id", F.col("area").alias("area")), "id").join(apart.select("id", "chunk_id", "_source"), "id")
+    names = F.when(F.col("id").between(0, SOURCES - 1), F.col("chunk_id") * SOURCES + F.col("id")).otherwise(F.raise_error(F.lit("ids lie between 0 and 2**40")).cast("long"))
+    apart = dealt.withColumn("id", names).withColumn("y0", F.col("y0") + F.col("chunk_id") * band).withColumn("y1", F.col("y1") + F.col("chunk_id") * band).drop("chunk_id")
+    if side:
+        anchors, spans = merge_boxes(apart, side, iou, containment)
+        spans = laid_down(spans)
+        merged = S.measures(spans, ["id"]).withColumnRenamed("area_px", "area").join(anchors, "id")
+        kept, runs, _ = resolve_mosaic(cut(merged.select("id", "tile_id", "area", *BOX)), dust, spans)
+    else:
+        kept, runs, _ = clean(laid_down(apart), iou=iou, containment=containment, dust=dust)
+    shape = S.measures(runs, ["id"]).join(kept.select("id", "area"), "id")
+    shape = shape.withColumn("chunk_id", F.shiftright("id", SOURCE_BITS)).withColumn("_source", F.col("id").bitwiseAND(SOURCES - 1).cast(stitched.schema["id"].dataType))
     back = shape.withColumn("centroid_y", F.col("centroid_y") - F.col("chunk_id") * band).withColumn("y0", F.col("y0") - F.col("chunk_id") * band).withColumn("y1", F.col("y1") - F.col("chunk_id") * band)
     owned = core_owned(back, chunks).drop("id").withColumnRenamed("_source", "id")
     return instance_ids(owned)
