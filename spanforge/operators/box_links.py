@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -54,8 +54,9 @@ def _found(batches: Iterator[pa.RecordBatch], side: int, iou: Fraction, containm
         yield from _linked(rows, side, iou, containment)
 
 
-def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """The columns of rows ``(cell, cell, ...)``, which come cell by cell, of some whole cells at a time."""
+def whole_cells(batches: Iterator[pa.RecordBatch], slim: Callable[[np.ndarray], np.ndarray] = lambda rows: rows) -> Iterator[np.ndarray]:
+    """The columns of rows ``(cell, cell, ...)``, which come cell by cell, of some whole cells at a time; ``slim`` drops
+    rows that needn't be held."""
     held: list[np.ndarray] = []
     n, many = 0, CHUNK_ROWS
     for b in batches:
@@ -63,7 +64,7 @@ def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         n += b.num_rows
         if n < many:
             continue
-        rows = np.concatenate(held, axis=1)
+        rows = slim(np.concatenate(held, axis=1))
         same = (rows[0] == rows[0, -1]) & (rows[1] == rows[1, -1])
         whole = int(np.argmax(same))  # the last cell may go on in the next batch
         if whole:
@@ -71,7 +72,7 @@ def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         held, n = [rows[:, whole:]], rows.shape[1] - whole
         many = max(CHUNK_ROWS, 2 * n)
     if n:
-        yield np.concatenate(held, axis=1)
+        yield slim(np.concatenate(held, axis=1))
 
 
 def _linked(rows: np.ndarray, side: int, iou: Fraction, containment: Fraction) -> Iterator[pa.RecordBatch]:

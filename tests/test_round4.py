@@ -45,13 +45,32 @@ def test_chunks_of_cells_change_nothing(monkeypatch, chunk):
     assert taken() == whole and {r[0] for r in whole} == {M.LINK, M.ANCHOR, M.SPAN, M.WHOLE_ANCHOR, M.WHOLE_SPAN}
 
 
+def test_copies_are_neither_held_nor_compared(monkeypatch):
+    many = [(0, 0, 90_000 - i, i % 3, 2, 3, 9, 9) for i in range(40_000)]
+    few = [(0, 0, 100_000 + i, 1, 2 + i, 3, 9 + i, 9) for i in range(2)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=list("abcdefgh")) for rows in [few, *[many[i : i + 1000] for i in range(0, 40_000, 1000)]]]
+    monkeypatch.setattr(L, "CHUNK_ROWS", 500)
+    (rows,) = L.whole_cells(batches, M._without_copies)
+    assert rows[2:4].T.tolist() == [[100_001, 1], [50_001, 0]]  # the smallest id of the smallest tile
+
+
+def test_rows_of_one_group_are_not_listed(monkeypatch):
+    n, listed, kept = 3000, [], M.roots_of
+    x = np.arange(n) % 3
+    box = x, np.zeros(n, int), x + 90, np.full(n, 90)
+    monkeypatch.setattr(L, "CANDIDATES", 10_000)
+    monkeypatch.setattr(M, "roots_of", lambda n, a, b: listed.append(len(a)) or kept(n, a, b))
+    root = M._roots(np.zeros(n, int), box, np.arange(n), 100, Fraction("0.7"), Fraction("0.92"))
+    assert set(root) == {0} and sum(listed) < 40_000  # of nine million pairs
+
+
 def test_wide_coordinates_are_not_packed():
     line, c0, c1 = np.array([1 << 20, 0, 0, 0]), np.array([5, 1 << 40, 0, 3]), np.array([9, (1 << 40) + 1, 3, 4])
     for wide in (1 << 41, 1 << 42):
         assert [v.tolist() for v in M._islands(line, c0, c1, wide)] == [[0, 0, 1 << 20], [0, 1 << 40, 5], [4, (1 << 40) + 1, 9]]
 
 
-@pytest.mark.parametrize("dust", [0, 30])
+@pytest.mark.parametrize("dust", [0, 3])
 def test_chunked_boxes_travel_once(spark, monkeypatch, dust):
     rows = [(r[0], r[1], r[2] + 50, r[3] + 50, r[4] + 50, r[5] + 50, r[6]) for r in boxes(9, 600, 40, 2, 14)]
     rows += [(1000 + r[0], (r[1] + 1) % 3, *r[2:]) for r in rows[::3]]  # copies of other tiles
