@@ -31,6 +31,7 @@ BLOCKS = 5  # of 12 or 13 bits each
 SIMILARITY = 0.8
 MAX_FILTER_BITS = 27  # log2 of the shingle filter's largest size: 16 MB; false hits only cost time
 MAX_BROADCAST_ROWS = 2_000_000
+PART_WORDS = 100_000  # of the items in one partition of their tables
 
 
 def shingles(df: DataFrame, text: Column, name: str, words: int = SHINGLE) -> DataFrame:
@@ -108,23 +109,27 @@ def shingle_filter(hashes: DataFrame, n: int) -> tuple[Column, int]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, item_id, similarity, hamming, window_start``: the best window of every leaked pair."""
     items = benchmark.select("item_id", F.col(item_text).alias("_item_text")).withColumn("_words", F.size(words_of(F.col("_item_text")))).where("_words > 0")
-    short = sorted(r[0] for r in items.where(F.col("_words") < SHINGLE).select("_words").distinct().collect())
-    found = _search(docs, items.where(F.col("_words") >= SHINGLE), SHINGLE, text, radius, similarity)
-    for words in short:  # at most SHINGLE - 1 lengths, and none in an ordinary benchmark
-        found = found.unionByName(_search(docs, items.where(F.col("_words") == words), words, text, radius, similarity))
+    totals = {r["kind"]: r["total"] for r in items.groupBy(F.least("_words", F.lit(SHINGLE)).alias("kind")).agg(F.sum("_words").alias("total")).collect()}
+    parts = {words: math.ceil(total / PART_WORDS) for words, total in totals.items()}
+    found = _search(docs, items.where(F.col("_words") >= SHINGLE), SHINGLE, parts.pop(SHINGLE, 1), text, radius, similarity)
+    for words in sorted(parts):  # at most SHINGLE - 1 lengths, and none in an ordinary benchmark
+        found = found.unionByName(_search(docs, items.where(F.col("_words") == words), words, parts[words], text, radius, similarity))
     return found
 
 
-def _search(docs: DataFrame, items: DataFrame, words: int, text: str, radius: int, similarity: float) -> DataFrame:
+def _search(docs: DataFrame, items: DataFrame, words: int, parts: int, text: str, radius: int, similarity: float) -> DataFrame:
     """Leaks of items of at least ``words`` words, by shingles of ``words`` words.
 
+    The items' tables are laid down in at most ``parts`` partitions, however many the session shuffles to: each is a file
+    of the checkpoint folder, and for each file Hadoop may start processes that share the executor's memory.
+
     Documents are read once. What of a document lies around dense hits of the fixed-size shingle filter is regrouped by
     document and size of item; nothing else of it is exchanged. Tables of the items are broadcast while they number at
     most MAX_BROADCAST_ROWS rows, else joined by shuffle.
     """
-    items = cut(shingles(items, F.col("_item_text"), "item", words).select("item_id", "item").distinct().withColumn("n", F.size("item")))
-    items = cut(items.withColumn("item_fp", simhash(F.col("item"))))
-    sizes = cut(items.select(F.explode("item").alias("anchor"), "n").distinct())
+    items = shingles(items, F.col("_item_text"), "item", words).select("item_id", "item").distinct().withColumn("n", F.size("item"))
+    items = cut(items.withColumn("item_fp", simhash(F.col("item"))).coalesce(parts))
+    sizes = cut(items.select(F.explode("item").alias("anchor"), "n").distinct().coalesce(parts))
     about = items.agg(F.max("n").alias("longest"), F.min("n").alias("least"), F.count(F.lit(1)).alias("items")).first()
     if not about["items"]:
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("hamming"), F.lit(0).alias("window_start")).limit(0)

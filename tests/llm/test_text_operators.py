@@ -5,6 +5,8 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -400,6 +402,38 @@ def test_reordered_passage_is_found(spark):
     assert [(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, items).collect()] == [(1, 9)]
 
 
+def test_item_tables_follow_the_items(spark, monkeypatch):
+    """Files laid down for the items' tables don't follow the session's partitions; several partitions give the same."""
+    r = np.random.default_rng(11)
+    words = lambda n: [f"w{x}" for x in r.integers(0, 4000, n)]
+    items = [(i, " ".join(words(30))) for i in range(20)] + [(50 + k, " ".join(words(3))) for k in range(8)]
+    rows = [(i, " ".join([*words(30), t, *words(10)])) for i, t in items]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    home = Path(urlparse(spark.conf.get("spark.checkpoint.dir")).path)
+    own = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in own}
+
+    def found():
+        before = set(home.rglob("part-*"))
+        leaks = decontam.find_leaks(docs, bench)
+        made = len(set(home.rglob("part-*")) - before)
+        return made, sorted(tuple(x) for x in leaks.collect())
+
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        made, few = found()
+        assert made == 4  # two tables each of the long and the short items
+        monkeypatch.setattr(decontam, "PART_WORDS", 100)
+        more, many = found()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert 4 < more <= 2 * (6 + 1)
+    assert few == many and {(i, i) for i, _ in items} <= {x[:2] for x in few}
+
+
 def test_block_index_is_complete(spark):
     r = np.random.default_rng(1)
     base = r.integers(-(1 << 63), 1 << 63, 60, dtype=np.int64)
