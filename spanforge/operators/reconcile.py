@@ -219,9 +219,14 @@ def culled_winners(culled: DataFrame, survivors: DataFrame) -> DataFrame:
     return culled.join(best, "id", "left").withColumn("winner_instance_id", F.coalesce("winner_instance_id", F.lit(-1).cast("long")))
 
 
-def tag_image_edge(objects: DataFrame, width: int, height: int) -> DataFrame:
-    """True where an object is not within the image shrunk by half a pixel, yet meets the image (closed)."""
+def tag_image_edge(objects: DataFrame, width: int, height: int, beyond: bool = False) -> DataFrame:
+    """True where an object is not within the image shrunk by half a pixel, yet meets the image (closed).
+
+    ``beyond``: objects wholly outside the image are tagged, too.
+    """
     inside = (F.col("x0") >= 0.5) & (F.col("y0") >= 0.5) & (F.col("x1") <= width - 0.5) & (F.col("y1") <= height - 0.5)
+    if beyond:
+        return objects.withColumn("touches_image_edge", ~inside)
     meets = (F.col("x0") <= width) & (F.col("y0") <= height) & (F.col("x1") >= 0) & (F.col("y1") >= 0)
     return objects.withColumn("touches_image_edge", ~inside & meets)
 
