@@ -16,6 +16,7 @@ from spanforge.operators import spans as S
 from spanforge.operators.box_links import box_links, box_links_side
 from spanforge.operators.box_merge import merge_boxes
 from spanforge.operators.components import connected_components, joined_trees
+from spanforge.operators.dust import dense, survivors
 from spanforge.operators.spatial_join import box_intersection, cell_size, overlap_join, span_intersections
 from spanforge.session import cut, laid_down
 
@@ -145,17 +146,21 @@ def _remnants(objects: DataFrame, runs: DataFrame) -> DataFrame:
 def resolve_mosaic(objects: DataFrame, dust: int = 0, spans: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(kept objects with ``remnant``, their disjoint spans, culled rows). An object stays iff its remnant exceeds ``dust``.
 
-    The sequential rule (largest first, subtract what is kept) as a fix-point: of objects whose remnant is too small,
-    those without a doomed earlier neighbour are dropped for good, since all that they yield to is settled; ownership
-    is then taken anew, until none is doomed; every round drops one at least. Remnants only grow, so all pixels that ever
-    change hands are those that the first ownership gives to doomed objects: rounds are run on these pixels alone. With no
-    dust nothing changes hands.
+    The sequential rule (largest first, subtract what is kept). Where objects lie in many layers, who stays is settled
+    first, and only they own pixels then. Else ownership is taken at once, and objects whose remnant is too small are
+    settled after it: remnants only grow, so all pixels that ever change hands are those that the first ownership gives
+    to them. With no dust nothing changes hands.
     """
-    if dust:
-        spans, objects = cut(box_to_spans(objects) if spans is None else spans), cut(objects)
-    runs = cut(ownership(objects, spans))
-    state = _remnants(objects, runs)
-    if dust:
+    staying, settled = objects, dust <= 0
+    if not settled:
+        objects = laid_down(objects)
+        staying, settled = objects, dense(objects)
+        spans = spans if spans is None and settled else laid_down(box_to_spans(objects) if spans is None else spans)
+        if settled:
+            staying = cut(objects.join(survivors(objects, spans, dust), "id", "left_semi"))
+    runs = cut(ownership(staying, spans))
+    state = _remnants(staying, runs)
+    if not settled:
         state = cut(state)
         state, runs = _settle_dust(objects, spans, state, runs, dust)
     kept, kept_runs = state.where(F.col("remnant") > dust), runs  # whoever is left out owns no pixel by now
@@ -177,9 +182,6 @@ def _settle_dust(objects: DataFrame, spans: DataFrame, state: DataFrame, runs: D
     met = in_cells(spans.where("c1 > c0"), "c0", "c1").join(in_cells(contested, "_b0", "_b1"), ["row", "_cell"]).where("c0 < _b1 and _b0 < c1")
     met = met.where(F.floor(F.greatest("c0", "_b0") / RUN_CELL) == F.col("_cell"))
     pieces = cut(met.select("id", "row", F.greatest("c0", "_b0").alias("c0"), F.least("c1", "_b1").alias("c1")))
-    slim = doomed.select("id", "area", "tile_id", "x0", "y0", "x1", "y1")
-    later = F.struct((-F.col("a_area")).alias("a"), F.col("a_tile_id").alias("t"), F.col("a_id").alias("i")) > F.struct((-F.col("b_area")).alias("a"), F.col("b_tile_id").alias("t"), F.col("b_id").alias("i"))
-    pairs = cut(overlap_join(slim, slim).where(later).select("a_id", "b_id"))
     live = doomed
     while True:
         gained = cut(ownership(objects, pieces))
@@ -187,8 +189,7 @@ def _settle_dust(objects: DataFrame, spans: DataFrame, state: DataFrame, runs: D
         short = cut(live.select("id").join(left, "id", "left").where(F.coalesce("_gained", F.lit(0)) <= dust).select("id"))
         if not short.limit(1).count():
             break
-        pairs = cut(pairs.join(short.withColumnRenamed("id", "a_id"), "a_id", "left_semi").join(short.withColumnRenamed("id", "b_id"), "b_id", "left_semi"))
-        dropped = cut(short.join(pairs.select(F.col("a_id").alias("id")), "id", "left_anti"))
+        dropped = cut(short.join(survivors(objects, pieces, dust, sure.select("id")), "id", "left_anti"))
         pieces = cut(pieces.join(dropped, "id", "left_anti"))
         live = cut(live.join(dropped, "id", "left_anti"))
     left = cut(left)

@@ -1,10 +1,14 @@
 """Cases of the fifth review."""
 
 import duckdb
+import numpy as np
 import pytest
 
+from spanforge.operators import dust as D
+from spanforge.operators import reconcile as R
 from spanforge.plans import queries as plans
 from tests.compare import rows_of, spark_rows
+from tests.test_round3 import KIND
 
 
 @pytest.mark.parametrize("name", ["crown_export", "image_edge_tag", "drop_image_edge"])
@@ -17,3 +21,65 @@ def test_crowns_wholly_beyond_the_image(spark, tmp_path, name):
     want = db.execute(plans.SQL[name])
     names = [d[0] for d in want.description]
     assert spark_rows(plans.QUERIES[name](spark, str(tmp_path))) == (sorted(names), rows_of(names, want.fetchall()))
+
+def sequential(o, dust, spans=None):
+    shapes = {}
+    for i, r, a, b in spans or [(i, r, x0, x1) for i, _, x0, y0, x1, y1, _ in o for r in range(y0, y1)]:
+        shapes.setdefault(i, set()).update((r, c) for c in range(a, b))
+    taken, kept = set(), {}
+    for b in sorted(o, key=lambda b: (-b[6], b[1], b[0])):
+        left = shapes.get(b[0], set()) - taken
+        if len(left) > dust:
+            kept[b[0]] = len(left)
+            taken |= left
+    return kept
+
+
+def layers(n=700, wide=70, seed=3):
+    rng = np.random.default_rng(seed)
+    sized = np.column_stack([rng.integers(-wide // 2, wide // 2, (n, 2)), rng.integers(3, 12, (n, 2))])
+    rows = [(i, i % 3, int(x), int(y), int(x + w), int(y + h), int(w * h)) for i, (x, y, w, h) in enumerate(sized)]
+    rows += [(n, 0, -40, -2, 60, 1, 300), (n + 1, 0, 5, 5, 5, 9, 0)]  # across many windows; empty
+    return rows + [(n + 2 + i, 0, 200 + 6 * i, 0, 208 + 6 * i, 8, 64) for i in range(40)]  # each hangs on the one before
+
+
+@pytest.mark.parametrize("sizes", [None, (16, 4), (7, 0), (64, 30)])
+def test_dust_is_settled_in_windows(spark, monkeypatch, sizes):
+    rows, seen = layers(), []
+    monkeypatch.setattr(D, "MANY", 5)
+    monkeypatch.setattr(R, "dense", lambda _: True)
+    monkeypatch.setattr(R, "survivors", lambda *a: D.survivors(*a, sizes=sizes))
+    monkeypatch.setattr(R, "ownership", lambda objects, spans=None, kept=R.ownership: seen.append(objects.count()) or kept(objects, spans))
+    o = spark.createDataFrame(rows, KIND)
+    kept, runs, culled = R.resolve_mosaic(o, 18)
+    want = sequential(rows, 18)
+    assert {r.id: r.remnant for r in kept.collect()} == want and seen == [len(want)] and len(want) < len(rows) / 3
+    pixels = [(r.row, c) for r in runs.collect() for c in range(r.c0, r.c1)]
+    assert len(pixels) == len(set(pixels)) == sum(want.values())
+    assert {r.id for r in culled.collect() if r.phase == "mosaic_dropped"} == {r[0] for r in rows} - set(want)
+
+
+@pytest.mark.parametrize("many", [True, False])
+def test_dust_of_shapes_in_many_batches(spark, monkeypatch, many):
+    rows = layers(300, 40, 5)
+    spans = [(i, r, x0 + (r % 3), x1 - (r % 2)) for i, _, x0, y0, x1, y1, _ in rows for r in range(y0, y1)] + [(3, rows[3][3], rows[3][2], rows[3][4])]
+    o, s = spark.createDataFrame(rows, KIND), spark.createDataFrame(spans, "id long, row long, c0 long, c1 long")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        monkeypatch.setattr(R, "dense", lambda _: many)
+        monkeypatch.setattr(R, "survivors", lambda *a: D.survivors(*a, sizes=(16, 4)))
+        kept, _, _ = R.resolve_mosaic(o, 9, s)
+        assert {r.id: r.remnant for r in kept.collect()} == sequential(rows, 9, spans)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def test_long_chains_of_dust_take_few_rounds(spark, monkeypatch):
+    """Each crown hangs on the one before it, whether it stays; a round settled one link."""
+    rows = [(i, 0, 6 * i, 0, 6 * i + 8, 8, 64) for i in range(150)]
+    rounds = []
+    monkeypatch.setattr(D, "cut", lambda df, kept=D.cut: rounds.append(1) or kept(df))
+    monkeypatch.setattr(R, "cut", lambda df, kept=R.cut: rounds.append(1) or kept(df))
+    kept, _, _ = R.resolve_mosaic(spark.createDataFrame(rows, KIND), 48)
+    assert {r.id: r.remnant for r in kept.collect()} == sequential(rows, 48) and len(rounds) < 25
