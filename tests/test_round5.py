@@ -2,9 +2,13 @@
 
 import duckdb
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from spanforge.operators import dust as D
+from spanforge.operators import points as P
 from spanforge.operators import reconcile as R
 from spanforge.plans import queries as plans
 from tests.compare import rows_of, spark_rows
@@ -83,3 +87,63 @@ def test_long_chains_of_dust_take_few_rounds(spark, monkeypatch):
     monkeypatch.setattr(R, "cut", lambda df, kept=R.cut: rounds.append(1) or kept(df))
     kept, _, _ = R.resolve_mosaic(spark.createDataFrame(rows, KIND), 48)
     assert {r.id: r.remnant for r in kept.collect()} == sequential(rows, 48) and len(rounds) < 25
+
+
+def crowded(kind):
+    """Copies of points and crowns, heights that repeat, null ones, crowns of many sizes; (points, crowns, pairs)."""
+    rng = np.random.default_rng(8)
+    at, z = rng.integers(-30, 40, (900, 2)) * 0.5, rng.integers(0, 9, 900) / (1 if kind == "bigint" else 2)
+    points = [(float(x), float(y), None if k % 50 == 0 else float(v)) for k, ((x, y), v) in enumerate(zip(at, z, strict=True))]
+    points += [(3.0, 3.0, None), (float("inf"), 1.0, 1.0)] + [(2.0, 2.0, 1.0)] * 30
+    sized = np.column_stack([rng.integers(-20, 20, (80, 2)), rng.integers(1, 9, (80, 2))])
+    crowns = [(i, int(x), int(y), int(x + w), int(y + h)) for i, (x, y, w, h) in enumerate(sized)]
+    crowns += [(None, 0, 0, 3, 3), (3, -9, -9, 9, 9), crowns[5], (90, 1, 1, 1, 9), (91, -200, -200, 200, 200)]
+    return points, crowns, [(i, v) for i, x0, y0, x1, y1 in crowns for x, y, v in points if x0 <= x < x1 and y0 <= y < y1]
+
+
+def plain(pairs):
+    return sorted((repr(i), "" if v is None else repr(float(v))) for i, v in pairs)
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(9,2)", "bigint"])
+def test_points_in_crowns_by_brute_force(spark, monkeypatch, kind):
+    points, crowns, want = crowded(kind)
+    monkeypatch.setattr(P, "points_above", lambda p, dtm, cell: p)
+    p = spark.createDataFrame(points, "x double, y double, z_norm double").withColumn("z_norm", F.col("z_norm").cast(kind))
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        got = P.normalised_points(p, None, spark.createDataFrame(crowns, "tree_id long, x0 long, y0 long, x1 long, y1 long"), 5.0)
+        rows = [tuple(r) for r in got.collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert got.schema["z_norm"].dataType.simpleString() == kind
+    assert plain(rows) == plain(want) and len(want) > 1500
+
+
+@pytest.mark.parametrize("same", [0, 8, 10**6])
+def test_equal_heights_leave_a_task_once(monkeypatch, same):
+    points, crowns, want = crowded("double")
+    points = [p for p in points if p[0] < 1e9]
+    for name, value in (("MOST_COPIES", 4), ("ROWS_OUT", 13), ("BITS", 9999), ("SAME", same)):
+        monkeypatch.setattr(P, name, value)
+    rows = [(0, 0, 0, False, i, float(a), float(b), float(c), float(d), 400.0, None) for i, a, b, c, d in crowns if c > a]
+    rows += [(0, 0, 0, True, None, x, y, None, None, None, z) for x, y, z in points]
+    names = [*P.SQUARE_KEY, "_point", "tree_id", "x0", "y0", "x1", "y1", "_reach", "z_norm"]
+    kinds = [pa.int64()] * 3 + [pa.bool_(), pa.int64()] + [pa.float64()] * 6
+    batches = pa.table({k: pa.array(c, t) for k, c, t in zip(names, zip(*rows, strict=True), kinds, strict=True)}).to_batches(max_chunksize=7)
+    found = [r for b in P._counted(iter(batches)) for r in zip(*[c.to_pylist() for c in b.columns], strict=True)]
+    assert plain((i, v) for i, v, n in found for _ in range(n)) == plain(want) and max(n for *_, n in found) == (1 if same > 8 else 4)
+
+
+def test_points_in_crowns_fill_small_files(spark, tmp_path):
+    """Heights come crown by crown, equal ones together: files hold runs (they took a byte and more for each row)."""
+    rng = np.random.default_rng(2)
+    made = lambda rows, names: spark.createDataFrame(pd.DataFrame(rows, columns=names))
+    points = made(np.column_stack([rng.integers(0, 60, (20_000, 2)), rng.integers(1, 51, 20_000)]), ["x", "y", "z"]).selectExpr("x", "y", "cast(z as double) z", "1 as cls")
+    corner = rng.integers(0, 45, (2000, 2))
+    crowns = made(np.column_stack([np.arange(2000), corner, corner + 14]), ["tree_id", "x0", "y0", "x1", "y1"])
+    dtm = spark.createDataFrame([(r, c, 1.0) for r in range(3) for c in range(3)], "r long, c long, g double")
+    P.normalised_points(points, dtm, crowns, 25).write.parquet(f"{tmp_path}/out")
+    n = spark.read.parquet(f"{tmp_path}/out").count()
+    assert n > 1_500_000 and sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < 0.4 * n
